@@ -86,7 +86,6 @@ def is_object(doc: Column) -> Rule:
 def record_rules(doc: Column) -> list[Rule]:
     """Rules of one prescribing record; fields not named here are ignored."""
     return [
-        is_object(doc),
         needs_text(doc, "date"),
         optional_number(doc, "actual_cost"),
         optional_whole(doc, "items"),
@@ -108,7 +107,6 @@ def section_rules(doc: Column) -> list[Rule]:
         lambda b: F.coalesce(F.schema_of_variant(b), F.lit("")) == "STRING",
     )
     return [
-        is_object(doc),
         needs_text(doc, "url"),
         one_of(doc, "page_type", PAGE_TYPES),
         optional_text(doc, "heading"),
@@ -117,10 +115,15 @@ def section_rules(doc: Column) -> list[Rule]:
     ]
 
 
-def check_contract(df: DataFrame, rules) -> DataFrame:
-    """Add ``violations``, the names of broken rules; empty for a valid row."""
-    names = [F.when(r.broken, F.lit(r.name)) for r in rules]
-    return df.withColumn("violations", F.array_compact(F.array(*names)))
+def check_contract(df: DataFrame, rules, first: Rule | None = None) -> DataFrame:
+    """Add ``violations``, the names of broken rules; empty for a valid row.
+
+    A row that breaks ``first`` is not judged by the other rules.
+    """
+    found = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.name)) for r in rules]))
+    if first is not None:
+        found = F.when(first.broken, F.array(F.lit(first.name))).otherwise(found)
+    return df.withColumn("violations", found)
 
 
 def parse_lines(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -134,7 +137,7 @@ def contract_records(lines: DataFrame, text: str = "value") -> DataFrame:
     Other columns of ``lines`` are kept. Values of a rejected row may be NULL.
     """
     doc = F.col("doc")
-    checked = check_contract(parse_lines(lines, text), record_rules(doc))
+    checked = check_contract(parse_lines(lines, text), record_rules(doc), is_object(doc))
     kept = [c for c in lines.columns if c != text]
     return checked.select(
         *kept,
@@ -164,18 +167,17 @@ def contract_pages(lines: DataFrame, text: str = "value") -> DataFrame:
     kept = [c for c in lines.columns if c != text]
     pages = F.try_variant_get(doc, "$.pages", "array<variant>")
     document_rules = [
-        is_object(doc),
         needs_text(doc, "drug"),
         one_of(doc, "type", [PAGE_KIND]),
         Rule("pages: list required", F.coalesce(~_kind(doc, "pages").startswith("ARRAY"), F.lit(True))),
     ]
-    documents = check_contract(parse_lines(lines, text), document_rules).withColumnRenamed(
-        "violations", "document_faults"
-    )
+    documents = check_contract(
+        parse_lines(lines, text), document_rules, is_object(doc)
+    ).withColumnRenamed("violations", "document_faults")
     rows = documents.select(
         *kept, _text(doc, "drug").alias("drug"), "document_faults", F.explode_outer(pages).alias("section")
     ).filter(section.isNotNull() | (F.size("document_faults") > 0))
-    checked = check_contract(rows, section_rules(section))
+    checked = check_contract(rows, section_rules(section), is_object(section))
     own = F.when(section.isNull(), F.array().cast("array<string>")).otherwise(F.col("violations"))
     return checked.select(
         *kept,

@@ -74,6 +74,21 @@ def publish_silver(df: DataFrame, table: str) -> int:
 
 
 
+def _overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace only the partitions that ``df`` has rows for.
+
+    An insert takes this mode from the session, not from a writer option.
+    """
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def backfill(
     bronze: DataFrame, table: str, from_month: str, to_month: str, promoted: DataFrame | None = None
 ) -> int:
@@ -88,13 +103,7 @@ def backfill(
         raise RuntimeError(f"{table} does not exist; build Silver in full before a backfill")
     stamp = F.lit(datetime.now(timezone.utc)).cast("timestamp")
     fresh = month_range(silver(bronze, promoted, stamp=stamp), from_month, to_month)
-    (
-        fresh.select(*spark.table(table).columns)
-        .hint("rebalance", "year_month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    _overwrite_partitions(fresh.hint("rebalance", "year_month"), table)
     window = month_range(spark.table(table), from_month, to_month)
     emptied = (
         window.groupBy("year_month").agg(F.max("ingested_at").alias("built"))

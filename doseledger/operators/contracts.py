@@ -13,7 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doseledger.functions.casting import blank_list, blank_text
-from doseledger.schemas import PAGE_KIND, PAGE_TYPES, RECORD_KINDS
+from doseledger.schemas import PAGE_KIND, PAGE_TYPES, RAW_RECORD, RECORD_KINDS
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters and columns reuse instead of computing it again.
+
+    The optimizer copies a plain column's expression into every filter above it, but not a
+    generator's; an outer explode of one value gives one row per row. The value is a column of its
+    own below the generator, where it is compiled.
+    """
+    held = f"__{name}"
+    return (
+        df.withColumn(held, value)
+        .select("*", F.explode_outer(F.array(held)).alias(name))
+        .drop(held)
+    )
 
 
 class Rule(NamedTuple):
@@ -23,67 +38,92 @@ class Rule(NamedTuple):
     broken: Column
 
 
-_FLOAT = r"(?i)^\s*[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infinity|nan)\s*$"
-_WHOLE = r"^\s*[+-]?\d+(?:\.0*)?\s*$"
+class Fields:
+    """Type names and texts of a VARIANT object's fields.
 
+    A kind is NULL for a missing field and ``VOID`` for an explicit null.
+    """
 
-def _at(doc: Column, field: str) -> Column:
-    return F.try_variant_get(doc, f"$.{field}", "variant")
+    def __init__(self, doc: Column):
+        self.doc = doc
+        self.is_object = F.coalesce(F.schema_of_variant(doc), F.lit("")).startswith("OBJECT")
 
+    def kind(self, field: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(self.doc, f"$.{field}", "variant"))
 
-def _kind(doc: Column, field: str) -> Column:
-    """Type name of a field: NULL when missing, ``VOID`` for an explicit null."""
-    return F.schema_of_variant(_at(doc, field))
+    def text(self, field: str) -> Column:
+        return F.try_variant_get(self.doc, f"$.{field}", "string")
 
 
-def _text(doc: Column, field: str) -> Column:
-    return F.try_variant_get(doc, f"$.{field}", "string")
+class PreparedFields:
+    """The same over columns computed once per row by :func:`_prepare_records`."""
 
+    def __init__(self, row: Column):
+        self.row = row
+        self.is_object = row["is_object"]
+
+    def kind(self, field: str) -> Column:
+        return self.row["kinds"][field]
+
+    def text(self, field: str) -> Column:
+        return self.row["texts"][field]
 
-def _number(doc: Column, field: str) -> Column:
-    return F.coalesce(
-        F.try_variant_get(doc, f"$.{field}", "double"), F.trim(_text(doc, field)).try_cast("double")
-    )
 
+_FLOAT = r"(?i)^\s*[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infinity|nan)\s*$"
+_WHOLE = r"^\s*[+-]?\d+(?:\.0*)?\s*$"
+
+
+def _number(fields, field: str) -> Column:
+    text = fields.text(field)
+    return F.when(
+        fields.kind(field) == "BOOLEAN", text.try_cast("boolean").cast("double")
+    ).otherwise(F.trim(text).try_cast("double"))
+
+
+def _whole_number(fields, field: str) -> Column:
+    text = F.trim(fields.text(field))
+    return F.when(
+        fields.kind(field) == "BOOLEAN", text.try_cast("boolean").cast("bigint")
+    ).otherwise(F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")))
 
-def needs_text(doc: Column, field: str) -> Rule:
-    return Rule(f"{field}: text required", F.coalesce(_kind(doc, field), F.lit("")) != "STRING")
 
+def needs_text(fields, field: str) -> Rule:
+    return Rule(f"{field}: text required", F.coalesce(fields.kind(field), F.lit("")) != "STRING")
 
-def optional_text(doc: Column, field: str) -> Rule:
-    return Rule(f"{field}: not text", F.coalesce(_kind(doc, field), F.lit("STRING")) != "STRING")
 
+def optional_text(fields, field: str) -> Rule:
+    return Rule(f"{field}: not text", F.coalesce(fields.kind(field), F.lit("STRING")) != "STRING")
 
-def optional_number(doc: Column, field: str) -> Rule:
-    kind = F.coalesce(_kind(doc, field), F.lit("VOID"))
+
+def optional_number(fields, field: str) -> Rule:
+    kind = F.coalesce(fields.kind(field), F.lit("VOID"))
     good = kind.isin("VOID", "BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL")
-    good = good | ((kind == "STRING") & _text(doc, field).rlike(_FLOAT))
+    good = good | ((kind == "STRING") & fields.text(field).rlike(_FLOAT))
     return Rule(f"{field}: not a number", ~good)
 
 
-def optional_whole(doc: Column, field: str) -> Rule:
-    kind = F.coalesce(_kind(doc, field), F.lit("VOID"))
-    value = F.try_variant_get(doc, f"$.{field}", "double")
+def optional_whole(fields, field: str) -> Rule:
+    kind = F.coalesce(fields.kind(field), F.lit("VOID"))
+    value = fields.text(field).try_cast("double")
     integral = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
     good = (
         kind.isin("VOID", "BIGINT", "BOOLEAN")
         | (integral & F.coalesce(value == F.floor(value), F.lit(False)))
-        | ((kind == "STRING") & _text(doc, field).rlike(_WHOLE))
+        | ((kind == "STRING") & fields.text(field).rlike(_WHOLE))
     )
     return Rule(f"{field}: not a whole number", ~good)
 
 
-def one_of(doc: Column, field: str, allowed) -> Rule:
-    known = (_kind(doc, field) == "STRING") & _text(doc, field).isin(list(allowed))
+def one_of(fields, field: str, allowed) -> Rule:
+    known = (fields.kind(field) == "STRING") & fields.text(field).isin(list(allowed))
     return Rule(f"{field}: not one of {', '.join(allowed)}", ~F.coalesce(known, F.lit(False)))
 
 
-def is_object(doc: Column) -> Rule:
-    kind = F.coalesce(F.schema_of_variant(doc), F.lit(""))
-    return Rule("not a JSON object", ~kind.startswith("OBJECT"))
+def is_object(fields) -> Rule:
+    return Rule("not a JSON object", ~F.coalesce(fields.is_object, F.lit(False)))
 
 
-def record_rules(doc: Column) -> list[Rule]:
+def record_rules(doc) -> list[Rule]:
     """Rules of one prescribing record; fields not named here are ignored."""
     return [
         needs_text(doc, "date"),
@@ -98,10 +138,10 @@ def record_rules(doc: Column) -> list[Rule]:
     ]
 
 
-def section_rules(doc: Column) -> list[Rule]:
+def section_rules(doc: Fields) -> list[Rule]:
     """Rules of one page section."""
-    bullets = F.try_variant_get(doc, "$.bullets", "array<variant>")
-    kind = F.coalesce(_kind(doc, "bullets"), F.lit("ARRAY"))
+    bullets = F.try_variant_get(doc.doc, "$.bullets", "array<variant>")
+    kind = F.coalesce(doc.kind("bullets"), F.lit("ARRAY"))
     texts = F.forall(
         F.coalesce(bullets, F.array().cast("array<variant>")),
         lambda b: F.coalesce(F.schema_of_variant(b), F.lit("")) == "STRING",
@@ -120,15 +160,28 @@ def check_contract(df: DataFrame, rules, first: Rule | None = None) -> DataFrame
 
     A row that breaks ``first`` is not judged by the other rules.
     """
-    found = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.name)) for r in rules]))
+    names = F.array(*[F.when(r.broken, r.name).otherwise("") for r in rules])
+    found = F.array_remove(names, "")
     if first is not None:
         found = F.when(first.broken, F.array(F.lit(first.name))).otherwise(found)
-    return df.withColumn("violations", found)
+    return _once(df, "violations", found)
 
 
-def parse_lines(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Parse JSON text to a VARIANT column ``doc``; text that is no JSON gives NULL."""
-    return lines.withColumn("doc", F.try_parse_json(F.col(text))).drop(text)
+def _prepare_records(lines: DataFrame, text: str) -> DataFrame:
+    """Each line's field types and field texts as one column ``row``, computed once.
+
+    Types come from VARIANT; texts come from one pass of the JSON reader, which is cheaper than
+    fetching every field from the VARIANT.
+    """
+    names = RAW_RECORD.names
+    fields = Fields(F.col("doc"))
+    parsed = _once(lines, "doc", F.try_parse_json(F.col(text)))
+    row = F.struct(
+        (F.col("doc").isNotNull() & F.ltrim(F.col(text)).startswith("{")).alias("is_object"),
+        F.struct(*[fields.kind(n).alias(n) for n in names]).alias("kinds"),
+        F.from_json(text, RAW_RECORD).alias("texts"),
+    )
+    return _once(parsed, "row", row).drop("doc", text)
 
 
 def contract_records(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -136,23 +189,20 @@ def contract_records(lines: DataFrame, text: str = "value") -> DataFrame:
 
     Other columns of ``lines`` are kept. Values of a rejected row may be NULL.
     """
-    doc = F.col("doc")
-    checked = check_contract(parse_lines(lines, text), record_rules(doc), is_object(doc))
+    fields = PreparedFields(F.col("row"))
+    checked = check_contract(_prepare_records(lines, text), record_rules(fields), is_object(fields))
     kept = [c for c in lines.columns if c != text]
     return checked.select(
         *kept,
-        _text(doc, "date").alias("date"),
-        _number(doc, "actual_cost").alias("actual_cost"),
-        F.coalesce(
-            F.try_variant_get(doc, "$.items", "bigint"),
-            F.trim(_text(doc, "items")).try_cast("double").try_cast("bigint"),
-        ).alias("items"),
-        _number(doc, "quantity").alias("quantity"),
-        _text(doc, "row_id").alias("row_id"),
-        blank_text(_text(doc, "setting")).alias("setting"),
-        blank_text(_text(doc, "ccg")).alias("ccg"),
-        blank_text(_text(doc, "icb_name")).alias("icb_name"),
-        _text(doc, "drug").alias("drug"),
+        fields.text("date").alias("date"),
+        _number(fields, "actual_cost").alias("actual_cost"),
+        _whole_number(fields, "items").alias("items"),
+        _number(fields, "quantity").alias("quantity"),
+        fields.text("row_id").alias("row_id"),
+        blank_text(fields.text("setting")).alias("setting"),
+        blank_text(fields.text("ccg")).alias("ccg"),
+        blank_text(fields.text("icb_name")).alias("icb_name"),
+        fields.text("drug").alias("drug"),
         "violations",
     )
 
@@ -163,30 +213,30 @@ def contract_pages(lines: DataFrame, text: str = "value") -> DataFrame:
     A document-level fault appears on each of its sections; an empty page list is valid and gives
     no rows unless the document itself is at fault.
     """
-    doc, section = F.col("doc"), F.col("section")
+    document, section = Fields(F.col("doc")), Fields(F.col("section"))
     kept = [c for c in lines.columns if c != text]
-    pages = F.try_variant_get(doc, "$.pages", "array<variant>")
+    pages = F.try_variant_get(F.col("doc"), "$.pages", "array<variant>")
     document_rules = [
-        needs_text(doc, "drug"),
-        one_of(doc, "type", [PAGE_KIND]),
-        Rule("pages: list required", F.coalesce(~_kind(doc, "pages").startswith("ARRAY"), F.lit(True))),
+        needs_text(document, "drug"),
+        one_of(document, "type", [PAGE_KIND]),
+        Rule("pages: list required", ~F.coalesce(document.kind("pages"), F.lit("")).startswith("ARRAY")),
     ]
     documents = check_contract(
-        parse_lines(lines, text), document_rules, is_object(doc)
+        _once(lines, "doc", F.try_parse_json(F.col(text))), document_rules, is_object(document)
     ).withColumnRenamed("violations", "document_faults")
     rows = documents.select(
-        *kept, _text(doc, "drug").alias("drug"), "document_faults", F.explode_outer(pages).alias("section")
-    ).filter(section.isNotNull() | (F.size("document_faults") > 0))
+        *kept, document.text("drug").alias("drug"), "document_faults", F.explode_outer(pages).alias("section")
+    ).filter(F.col("section").isNotNull() | (F.size("document_faults") > 0))
     checked = check_contract(rows, section_rules(section), is_object(section))
-    own = F.when(section.isNull(), F.array().cast("array<string>")).otherwise(F.col("violations"))
+    own = F.when(F.col("section").isNull(), F.array().cast("array<string>")).otherwise(F.col("violations"))
     return checked.select(
         *kept,
         "drug",
-        _text(section, "url").alias("url"),
-        _text(section, "page_type").alias("page_type"),
-        blank_text(_text(section, "heading")).alias("heading"),
-        blank_text(_text(section, "text")).alias("text"),
-        blank_list(F.try_variant_get(section, "$.bullets", "array<string>")).alias("bullets"),
+        section.text("url").alias("url"),
+        section.text("page_type").alias("page_type"),
+        blank_text(section.text("heading")).alias("heading"),
+        blank_text(section.text("text")).alias("text"),
+        blank_list(F.try_variant_get(F.col("section"), "$.bullets", "array<string>")).alias("bullets"),
         F.concat("document_faults", own).alias("violations"),
     )
 

@@ -215,7 +215,8 @@ def src_pages_doc(spark, sf):
 @query()
 def src_html_sections(spark, sf):
     """Raw web pages to sections."""
-    return _joined_bullets(web_pages.html_sections(sample_tables.table(spark, sf, "pages")))
+    pages = sample_tables.spread_table(spark, sf, "pages", "page_id")
+    return _joined_bullets(web_pages.html_sections(pages))
 
 
 @query()
@@ -224,7 +225,7 @@ def src_html_headings(spark, sf):
     html = F.regexp_replace(
         F.regexp_replace("html", "<p>", "<h2>Part &amp; parcel</h2><p>"), "<(/?)article>", "<$1main>"
     )
-    pages = sample_tables.table(spark, sf, "pages").withColumn("html", html)
+    pages = sample_tables.spread_table(spark, sf, "pages", "page_id").withColumn("html", html)
     return _joined_bullets(web_pages.html_sections(pages))
 
 
@@ -773,7 +774,7 @@ def chart_trend_feed(spark, sf):
 @query(f"SELECT doc_id, array_to_string({q.tokens_sql('text')}, ' ') AS tokens FROM documents")
 def tokenise_text(spark, sf):
     """Tokens of every document, in order."""
-    docs = sample_tables.table(spark, sf, "documents")
+    docs = sample_tables.spread_table(spark, sf, "documents", "doc_id")
     return docs.select("doc_id", F.array_join(tokenise(F.col("text")), " ").alias("tokens"))
 
 
@@ -884,7 +885,7 @@ def contract_batch(spark, sf):
 )
 def contract_pages(spark, sf):
     """Page documents checked section by section."""
-    docs = sample_tables.table(spark, sf, "documents")
+    docs = sample_tables.spread_table(spark, sf, "documents", "doc_id")
     kind = (
         F.when(F.col("doc_id") % 5 == 0, "side_effects").when(F.col("doc_id") % 5 == 1, "contraindications")
         .when(F.col("doc_id") % 5 == 2, "interactions").when(F.col("doc_id") % 5 == 3, "dosage")

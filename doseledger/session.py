@@ -56,6 +56,17 @@ def write_scratch(df, tag: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df, *keys):
+    """Give every core a share of a scan that has fewer splits than the cluster has cores.
+
+    A large table has more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def _path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())

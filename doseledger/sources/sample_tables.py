@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doseledger.schemas import LEDGER_CSV_HEADER
+from doseledger.session import spread
 
 ROW_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 PROMOTED = ("ECONOMY", "SMALL", "LARGE")
@@ -20,11 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table for row-heavy work; small files are spread over the cores first."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return (
-        table(spark, sf_dir, "lineitem")
+        spread_table(spark, sf_dir, "lineitem", "l_orderkey")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -159,7 +165,7 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as page sections: language is the medicine, source the page type."""
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id",
         F.col("lang").alias("drug"),
         F.col("source").alias("page_type"),

@@ -20,13 +20,17 @@ def iso_date(text: Column) -> Column:
     return F.when(text.rlike(_ISO), F.translate(F.trim(text), "/", "-").try_cast("date"))
 
 
-def month_key(text: Column) -> Column:
-    """``YYYY-MM`` from ``YYYYMM`` or from an ISO date, else NULL."""
+def month_key(text: Column, date: Column | None = None) -> Column:
+    """``YYYY-MM`` from ``YYYYMM`` or from an ISO date, else NULL.
+
+    ``date`` is the text's :func:`iso_date`, where that is at hand already.
+    """
     compact = F.trim(text)
+    date = iso_date(text) if date is None else date
     return F.when(
         text.rlike(_COMPACT),
         F.concat(F.substring(compact, 1, 4), F.lit("-"), F.lpad(F.substring(compact, 5, 2), 2, "0")),
-    ).otherwise(F.substring(iso_date(text).cast("string"), 1, 7))
+    ).otherwise(F.substring(date.cast("string"), 1, 7))
 
 
 def month_start(key: Column) -> Column:

@@ -68,11 +68,11 @@ def lineage_edges(events: DataFrame) -> DataFrame:
 def upstream(edges: DataFrame, dataset: str) -> DataFrame:
     """Every dataset a dataset derives from, with its distance in jobs.
 
-    One join per level against the edge table. Each level is written to the shared folder, which
+    One join per level against the edge table, which is derived from the log once. Each level is written to the shared folder, which
     cuts the lineage; datasets already reached are not followed again, so cycles end.
     """
     spark = edges.sparkSession
-    edges = edges.select("input", "output").distinct()
+    edges = write_scratch(edges.select("input", "output").distinct(), "edges")
     reached = spark.range(1).select(F.lit(dataset).alias("dataset"), F.lit(0).alias("distance"))
     frontier, distance = reached, 0
     while True:

@@ -45,7 +45,8 @@ def promote(bronze: DataFrame, promoted: DataFrame) -> DataFrame:
 
 def tolerant_types(bronze: DataFrame) -> DataFrame:
     """Cast date, cost, items and quantity; what cannot be cast becomes NULL."""
-    return bronze.select(
+    typed = bronze.select(
+        F.col("date").alias("__written"),
         iso_date(F.col("date")).alias("date"),
         _double(bronze, "actual_cost").alias("actual_cost"),
         _bigint(bronze, "items").alias("items"),
@@ -54,8 +55,8 @@ def tolerant_types(bronze: DataFrame) -> DataFrame:
         "setting",
         "ccg",
         "drug",
-        month_key(F.col("date")).alias("year_month"),
     )
+    return typed.withColumn("year_month", month_key(F.col("__written"), F.col("date"))).drop("__written")
 
 
 def silver(bronze: DataFrame, promoted: DataFrame | None = None, stamp: Column | None = None) -> DataFrame:

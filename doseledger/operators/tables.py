@@ -90,10 +90,19 @@ def _overwrite_partitions(df: DataFrame, table: str) -> None:
 
 
 def backfill(
-    bronze: DataFrame, table: str, from_month: str, to_month: str, promoted: DataFrame | None = None
+    bronze: DataFrame,
+    table: str,
+    from_month: str,
+    to_month: str,
+    promoted: DataFrame | None = None,
+    by_resource: bool = False,
 ) -> int:
     """Re-derive an inclusive month range of Silver from Bronze; returns the rows in the range.
 
+    A file may hold rows of other months, so by default every row is judged by its own date.
+    ``by_resource`` reads only the files named after the range's months, for a lake known to keep
+    them apart; on the partitioned layout that prunes folders.
+
     Months with rows are overwritten as partitions. Months of the range that received none still
     carry an older build time; they are dropped. Everything outside the range, undated rows
     included, is untouched, and a second run gives the same table.
@@ -101,6 +110,9 @@ def backfill(
     spark = bronze.sparkSession
     if not spark.catalog.tableExists(table):
         raise RuntimeError(f"{table} does not exist; build Silver in full before a backfill")
+    if by_resource:
+        names = ["EPD_" + month.replace("-", "") for month in (from_month, to_month)]
+        bronze = bronze.filter(F.col("resource").between(*names))
     stamp = F.lit(datetime.now(timezone.utc)).cast("timestamp")
     fresh = month_range(silver(bronze, promoted, stamp=stamp), from_month, to_month)
     _overwrite_partitions(fresh.hint("rebalance", "year_month"), table)

@@ -349,10 +349,16 @@ def snk_create_or_replace(spark, sf):
     return spark.table(table)
 
 
-@query()
+@query(
+    f"""WITH {q.BRONZE} SELECT DISTINCT drug, resource AS folder, true AS holds_data, true AS sizes_agree FROM bronze"""
+)
 def lake_inventory(spark, sf):
-    """Files of the lake with their sizes."""
-    return inventory.lake_inventory(spark, _lake(spark, sf))
+    """Files of the lake with their sizes, summed up per folder."""
+    files = inventory.lake_inventory(spark, _lake(spark, sf))
+    return files.groupBy("drug", F.regexp_extract("file", r"^resource=([^/]+)/", 1).alias("folder")).agg(
+        (F.sum("size_bytes") > 0).alias("holds_data"),
+        F.bool_and(F.abs(F.col("size_kb") * 1024 - F.col("size_bytes")) <= 51.2).alias("sizes_agree"),
+    )
 
 
 @query(

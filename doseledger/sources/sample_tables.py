@@ -17,8 +17,15 @@ ROW_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 PROMOTED = ("ECONOMY", "SMALL", "LARGE")
 
 
+_opened: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A supplied table; its schema is looked up once per session, its rows are always read."""
+    key = (spark.sparkContext.applicationId, id(spark._jsparkSession), sf_dir, name)
+    if key not in _opened:
+        _opened[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _opened[key]
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:

@@ -77,6 +77,14 @@ def test_backfill_touches_only_its_range(spark, db, records):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
 
 
+def test_backfill_by_resource_reads_only_those_files(spark, db, records):
+    bronze = records.withColumn("resource", F.concat(F.lit("EPD_"), F.lit("202401")))
+    late = records.limit(1).withColumn("resource", F.lit("EPD_202312"))
+    publish_silver(silver(records), f"{db}.s")
+    assert backfill(bronze.unionByName(late), f"{db}.s", "2024-01", "2024-01", by_resource=True) == 2
+    assert backfill(bronze.unionByName(late), f"{db}.s", "2024-01", "2024-01") == 3
+
+
 def test_backfill_reads_no_month_outside_its_range(spark, db, records):
     table = f"{db}.s"
     publish_silver(silver(records), table)

@@ -13,6 +13,8 @@ from doseledger.schemas import RUN_EVENT, RUN_STATES
 from doseledger.session import write_scratch
 
 NAMESPACE = "doseledger"
+# fixed value: the public specification the events follow
+EVENT_SCHEMA_URL = "https://openlineage.io/spec/1-0-5/OpenLineage.json"
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -94,18 +96,23 @@ def append_event(
     spark: SparkSession, path: str, job: str, state: str, run_id: str, inputs=(), outputs=()
 ) -> None:
     """Append one event to the log."""
-    named = lambda names: [(NAMESPACE, n) for n in names]
-    row = (
-        state,
-        datetime.now(timezone.utc).isoformat(),
-        (run_id,),
-        (NAMESPACE, job),
-        named(inputs),
-        named(outputs),
-        NAMESPACE,
-        "https://openlineage.io/spec/1-0-5/OpenLineage.json",
+    source = F.lit(NAMESPACE)
+
+    def datasets(names):
+        found = [F.struct(source.alias("namespace"), F.lit(n).alias("name")) for n in names]
+        return F.array(*found).cast(RUN_EVENT["inputs"].dataType)
+
+    event = spark.range(0, 1, 1, 1).select(
+        F.lit(state).alias("eventType"),
+        F.lit(datetime.now(timezone.utc).isoformat()).alias("eventTime"),
+        F.struct(F.lit(run_id).alias("runId")).alias("run"),
+        F.struct(source.alias("namespace"), F.lit(job).alias("name")).alias("job"),
+        datasets(inputs).alias("inputs"),
+        datasets(outputs).alias("outputs"),
+        source.alias("producer"),
+        F.lit(EVENT_SCHEMA_URL).alias("schemaURL"),
     )
-    spark.createDataFrame([row], RUN_EVENT).coalesce(1).write.mode("append").json(path)
+    event.write.mode("append").json(path)
 
 
 @contextmanager

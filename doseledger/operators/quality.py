@@ -51,8 +51,10 @@ def veracity_report(df: DataFrame, fields=REPORT_FIELDS) -> DataFrame:
         F.count(F.lit(1)).alias("unique_count"),
     )
     # a table without rows still reports its fields
-    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
-    return names.join(counted, "field", "left").select(
+    names = df.sparkSession.range(1).select(
+        F.posexplode(F.array(*[F.lit(f) for f in fields])).alias("place", "field")
+    )
+    return names.join(counted, "field", "left").orderBy("place").select(
         "field",
         F.coalesce("null_count", F.lit(0)).alias("null_count"),
         _percent(F.coalesce("null_count", F.lit(0)), F.coalesce("total", F.lit(0))).alias("null_pct"),

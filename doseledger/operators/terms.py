@@ -19,6 +19,7 @@ def term_counts(sections: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
         sections.select("drug", "page_type", F.explode(words).alias("term"))
         .groupBy("drug", "term", "page_type")
         .agg(F.count(F.lit(1)).alias("frequency"))
+        .select("drug", "term", "frequency", "page_type")
     )
 
 

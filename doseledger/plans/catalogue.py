@@ -29,18 +29,19 @@ ORACLE: dict = {}
 _ORDER = list(sample_tables.ROW_KEYS)
 
 
-def query(sql: str | None = None):
-    """Register a query under its function's name, with comparison SQL where SQL can say it."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a query, by default under its function's name, with comparison SQL where SQL can say it."""
 
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(spark, sf_dir)
 
-        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
-        QUERIES[fn.__name__] = run
+        key = name or fn.__name__
+        run.__name__, run.__doc__ = key, fn.__doc__
+        QUERIES[key] = run
         if sql:
-            ORACLE[fn.__name__] = sql
+            ORACLE[key] = sql
         return fn
 
     return add
@@ -121,7 +122,7 @@ _CSV_FIELDS = """
   lower(drug) AS drug, 'SUB-' || drug AS bnf_code
 """
 _CSV_CODES = {"economy": "SUB-ECONOMY", "small": "SUB-SMALL", "large": "SUB-LARGE", "promo": "SUB-PROMO"}
-_CSV_RESOURCE = f"'EPD_' || date AS resource"
+_CSV_RESOURCE = "'EPD_' || date AS resource"
 _CSV_KEPT = "drug IN ('ECONOMY', 'SMALL', 'LARGE', 'PROMO') AND l_orderkey % 17 <> 0"
 
 
@@ -212,14 +213,18 @@ def src_pages_doc(spark, sf):
     return _joined_bullets(web_pages.read_sections(spark, base))
 
 
-@query()
+@query(q.html_sections_sql("html"))
 def src_html_sections(spark, sf):
     """Raw web pages to sections."""
     pages = sample_tables.spread_table(spark, sf, "pages", "page_id")
     return _joined_bullets(web_pages.html_sections(pages))
 
 
-@query()
+@query(
+    q.html_sections_sql(
+        "regexp_replace(replace(html, '<p>', '<h2>Part &amp; parcel</h2><p>'), '<(/?)article>', '<\\1main>', 'g')"
+    )
+)
 def src_html_headings(spark, sf):
     """The same pages with headings: each paragraph opens a section of the page's main part."""
     html = F.regexp_replace(
@@ -303,7 +308,7 @@ def snk_bronze_pages(spark, sf):
 def snk_type_router(spark, sf):
     """A mix of payloads sent to the writer each belongs to."""
     bronze = _bronze(spark, sf)
-    record = F.struct(*[c for c in RAW_RECORD.names])
+    record = F.struct(*RAW_RECORD.names)
     sections = sample_tables.sections(spark, sf)
     section = F.struct("url", "page_type", "heading", "text", "bullets")
     envelopes = bronze.select(
@@ -778,18 +783,18 @@ def chart_trend_feed(spark, sf):
 # --- text ---------------------------------------------------------------------------------
 
 
-@query(f"SELECT doc_id, array_to_string({q.tokens_sql('text')}, ' ') AS tokens FROM documents")
+@query(f"SELECT doc_id, array_to_string({q.tokens_sql('text')}, ' ') AS tokens FROM documents", name="tokenise")
 def tokenise_text(spark, sf):
     """Tokens of every document, in order."""
     docs = sample_tables.spread_table(spark, sf, "documents", "doc_id")
     return docs.select("doc_id", F.array_join(tokenise(F.col("text")), " ").alias("tokens"))
 
 
-QUERIES["tokenise"] = QUERIES.pop("tokenise_text")
-ORACLE["tokenise"] = ORACLE.pop("tokenise_text")
 
-
-@query("SELECT doc_id, source || ' ' || text || ' ' || lang || ' ' || source AS full_text FROM documents")
+@query(
+    "SELECT doc_id, source || ' ' || text || ' ' || lang || ' ' || source AS full_text FROM documents",
+    name="section_text",
+)
 def section_text_join(spark, sf):
     """Heading, text and bullets as one text."""
     rows = sample_tables.sections(spark, sf)
@@ -798,9 +803,6 @@ def section_text_join(spark, sf):
     )
 
 
-QUERIES["section_text"] = QUERIES.pop("section_text_join")
-ORACLE["section_text"] = ORACLE.pop("section_text_join")
-
 
 @query(f"WITH {q.TERMS} SELECT * FROM terms")
 def term_counts(spark, sf):
@@ -1153,7 +1155,10 @@ def _time_text(column):
 )
 def lineage_events(spark, sf):
     """The event log as a typed table."""
-    names = lambda c: F.array_join(F.transform(c, lambda d: d["name"]), ",").alias(c)
+
+    def names(column):
+        return F.array_join(F.transform(column, lambda d: d["name"]), ",").alias(column)
+
     return _events(spark, sf).select(
         "event_type", _time_text("event_time").alias("event_time"), "run_id", "job_name", names("inputs"), names("outputs")
     )

@@ -151,3 +151,77 @@ RECORD_CHECK = f"""checked AS (
       resource AS batch_resource, quantity, l_orderkey AS k, substr(resource, 5, 4) AS yr,
       CASE WHEN l_orderkey % 37 <> 0 THEN actual_cost END AS cost, items AS whole
     FROM bronze))"""
+
+
+def html_sections_sql(html: str) -> str:
+    """Sections of ``pages``, by walking the tags of each page with a stack in a recursive query.
+
+    Decodes the entities that occur in the supplied pages.
+    """
+    tag = r"""<(/?[a-zA-Z][^\s/>]*)(?:[^"''>]|"[^"]*"|''[^'']*'')*>"""
+    raw = (
+        r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>|![^>]*>)"
+    )
+    text = "t"
+    for pattern, plain in (("&copy;?", "©"), ("&middot;?", "·"), ("&quot;?", '"'), ("&amp;?", "&")):
+        text = f"regexp_replace({text}, '{pattern}', '{plain}', 'g')"
+    void = "'area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'source', 'wbr'"
+    return rf"""WITH RECURSIVE tokens AS (
+  SELECT page_id, url, regexp_extract_all(clean, '{tag}') AS tags,
+    list_transform(string_split_regex(clean, '{tag}'),
+      lambda t: regexp_replace({text}, '^\s+|\s+$', '', 'g')) AS texts
+  FROM (SELECT page_id, url, regexp_replace({html}, '{raw}', '<br>', 'g') AS clean FROM pages)),
+marks AS (
+  SELECT page_id, list_append(list_transform(
+      list_transform(tags, lambda t: lower(regexp_extract(t, '^<(/?[^\s/>]+)', 1))),
+      lambda n: CASE WHEN n IN ({void}) THEN '' ELSE n END), '/*') AS marks FROM tokens),
+walk(page_id, i, marks, names, firsts, parents, done) AS (
+  SELECT page_id, 0, marks, []::VARCHAR[], []::INTEGER[], []::INTEGER[],
+    []::STRUCT(name VARCHAR, first INTEGER, last INTEGER, parent INTEGER)[] FROM marks
+  UNION ALL
+  SELECT page_id, i + 1, marks,
+    CASE WHEN m = '' OR k = 0 THEN names WHEN k > 0 THEN names[:k - 1] ELSE list_append(names, m) END,
+    CASE WHEN m = '' OR k = 0 THEN firsts WHEN k > 0 THEN firsts[:k - 1] ELSE list_append(firsts, i) END,
+    CASE WHEN m = '' OR k = 0 THEN parents WHEN k > 0 THEN parents[:k - 1]
+         ELSE list_append(parents, COALESCE(firsts[len(firsts)], -1)) END,
+    CASE WHEN m <> '' AND k > 0 THEN list_concat(done, list_transform(range(k, len(names) + 1),
+        lambda j: {{'name': names[j], 'first': firsts[j], 'last': i, 'parent': parents[j]}})) ELSE done END
+  FROM (SELECT *, CASE WHEN m = '/*' THEN 1 WHEN NOT starts_with(m, '/') THEN -1
+      WHEN NOT list_contains(names, m[2:]) THEN 0
+      ELSE len(names) - list_position(list_reverse(names), m[2:]) + 1 END AS k
+    FROM (SELECT *, marks[i + 1] AS m FROM walk WHERE i < len(marks)))),
+elements AS (
+  SELECT page_id, unnest(done, recursive := true) FROM walk WHERE i = len(marks)),
+main AS (SELECT page_id, arg_min(first, first) AS first, arg_min(last, first) AS last
+  FROM elements WHERE name = 'main' GROUP BY page_id),
+inside AS (
+  SELECT e.*, array_to_string(list_filter(t.texts[e.first + 2:e.last + 1], lambda x: x <> ''), ' ') AS text
+  FROM elements e JOIN tokens t USING (page_id) LEFT JOIN main m USING (page_id)
+  WHERE m.page_id IS NULL OR (e.first > m.first AND e.first < m.last)),
+heads AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY first) - 1 AS pos,
+    COALESCE(LEAD(first) OVER (PARTITION BY page_id, parent ORDER BY first), 2147483647) AS until
+  FROM inside WHERE name IN ('h2', 'h3')),
+paragraphs AS (
+  SELECT h.page_id, h.pos, string_agg(p.text, ' ' ORDER BY p.first) AS text
+  FROM heads h JOIN inside p ON p.page_id = h.page_id AND p.name = 'p' AND p.parent = h.parent
+    AND p.first > h.first AND p.first < h.until GROUP BY ALL),
+bullets AS (
+  SELECT page_id, pos, string_agg(text, '|' ORDER BY first) AS bullets FROM (
+    SELECT DISTINCT h.page_id, h.pos, i.first, i.text
+    FROM heads h JOIN inside u ON u.page_id = h.page_id AND u.name IN ('ul', 'ol') AND u.parent = h.parent
+        AND u.first > h.first AND u.first < h.until
+      JOIN inside i ON i.page_id = u.page_id AND i.name = 'li' AND i.first > u.first AND i.first < u.last)
+  GROUP BY ALL),
+sections AS (
+  SELECT page_id, pos, h.text AS heading, p.text, b.bullets
+  FROM heads h LEFT JOIN paragraphs p USING (page_id, pos) LEFT JOIN bullets b USING (page_id, pos)
+  UNION ALL
+  SELECT page_id, 0, '', string_agg(i.text, ' ' ORDER BY i.first) FILTER (WHERE i.name = 'p'),
+    string_agg(i.text, '|' ORDER BY i.first) FILTER (WHERE i.name = 'li')
+  FROM tokens LEFT JOIN inside i USING (page_id)
+  WHERE page_id NOT IN (SELECT page_id FROM heads) GROUP BY page_id)
+SELECT page_id, url, CASE WHEN contains(slug, 'side-effects') THEN 'side_effects'
+    WHEN contains(slug, 'who-can') THEN 'contraindications' ELSE 'interactions' END AS page_type,
+  CAST(pos AS INTEGER) AS pos, heading, COALESCE(text, '') AS text, COALESCE(bullets, '') AS bullets
+FROM sections JOIN (SELECT page_id, url, split_part(rtrim(url, '/'), '/', -1) AS slug FROM tokens) USING (page_id)"""

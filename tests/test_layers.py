@@ -108,7 +108,9 @@ def test_feeds(trusted):
 
 
 def test_report_counts_null_as_a_value(records):
-    rows = {r["field"]: tuple(r)[1:] for r in veracity_report(records).collect()}
+    report = veracity_report(records)
+    assert [r["field"] for r in report.collect()] == ["actual_cost", "items", "quantity", "setting"]
+    rows = {r["field"]: tuple(r)[1:] for r in report.collect()}
     assert rows == {
         "actual_cost": (2, 33.33, 5), "items": (1, 16.67, 6), "quantity": (0, 0.0, 6), "setting": (0, 0.0, 1),
     }
@@ -160,7 +162,7 @@ def test_top_terms_limit_is_per_medicine(spark, sections):
     top = [(r["term"], r["page_type"], r["frequency"]) for r in top_terms(sections, 3).collect()]
     assert top == [("nausea", "side_effects", 3), ("rash", "side_effects", 2), ("alcohol", "interactions", 1)]
     empty = top_terms(sections.filter("drug = 'aspirin'"))
-    assert empty.columns == ["drug", "term", "page_type", "frequency"] and empty.count() == 0
+    assert empty.columns == ["drug", "term", "frequency", "page_type"] and empty.count() == 0
     assert rollups.chart_terms_feed(term_counts(sections), "metformin", 1).first()["term"] == "nausea"
     summary = spark.createDataFrame([("metformin", 1, 2.0, 2.0)], "drug string, total_items bigint, total_cost_gbp double, avg_nic_per_item double")
     assert summary_terms_join(summary, top_terms(sections, 3)).count() == 3

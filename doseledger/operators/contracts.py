@@ -13,24 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doseledger.functions.casting import blank_list, blank_text
+from doseledger.functions.columns import once
 from doseledger.schemas import PAGE_KIND, PAGE_TYPES, RAW_RECORD, RECORD_KINDS
 
 
-def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that later filters and columns reuse instead of computing it again.
-
-    The optimizer copies a plain column's expression into every filter above it, but not a
-    generator's; an outer explode of one value gives one row per row. The value is a column of its
-    own below the generator, where it is compiled.
-    """
-    held = f"__{name}"
-    return (
-        df.withColumn(held, value)
-        .select("*", F.explode_outer(F.array(held)).alias(name))
-        .drop(held)
-    )
-
-
 class Rule(NamedTuple):
     """A named condition that is true for a row breaking it."""
 
@@ -164,7 +150,7 @@ def check_contract(df: DataFrame, rules, first: Rule | None = None) -> DataFrame
     found = F.array_remove(names, "")
     if first is not None:
         found = F.when(first.broken, F.array(F.lit(first.name))).otherwise(found)
-    return _once(df, "violations", found)
+    return once(df, "violations", found)
 
 
 def _prepare_records(lines: DataFrame, text: str) -> DataFrame:
@@ -175,13 +161,13 @@ def _prepare_records(lines: DataFrame, text: str) -> DataFrame:
     """
     names = RAW_RECORD.names
     fields = Fields(F.col("doc"))
-    parsed = _once(lines, "doc", F.try_parse_json(F.col(text)))
+    parsed = once(lines, "doc", F.try_parse_json(F.col(text)))
     row = F.struct(
         (F.col("doc").isNotNull() & F.ltrim(F.col(text)).startswith("{")).alias("is_object"),
         F.struct(*[fields.kind(n).alias(n) for n in names]).alias("kinds"),
         F.from_json(text, RAW_RECORD).alias("texts"),
     )
-    return _once(parsed, "row", row).drop("doc", text)
+    return once(parsed, "row", row).drop("doc", text)
 
 
 def contract_records(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -222,7 +208,7 @@ def contract_pages(lines: DataFrame, text: str = "value") -> DataFrame:
         Rule("pages: list required", ~F.coalesce(document.kind("pages"), F.lit("")).startswith("ARRAY")),
     ]
     documents = check_contract(
-        _once(lines, "doc", F.try_parse_json(F.col(text))), document_rules, is_object(document)
+        once(lines, "doc", F.try_parse_json(F.col(text))), document_rules, is_object(document)
     ).withColumnRenamed("violations", "document_faults")
     rows = documents.select(
         *kept, document.text("drug").alias("drug"), "document_faults", F.explode_outer(pages).alias("section")

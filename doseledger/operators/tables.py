@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from doseledger.functions.columns import once
 from doseledger.operators.silver import month_range, silver
 from doseledger.session import delete_path
 
@@ -114,7 +115,9 @@ def backfill(
         names = ["EPD_" + month.replace("-", "") for month in (from_month, to_month)]
         bronze = bronze.filter(F.col("resource").between(*names))
     stamp = F.lit(datetime.now(timezone.utc)).cast("timestamp")
-    fresh = month_range(silver(bronze, promoted, stamp=stamp), from_month, to_month)
+    # both bounds compare the same derived month
+    derived = once(silver(bronze, promoted, stamp=stamp), "year_month", F.col("year_month"))
+    fresh = month_range(derived, from_month, to_month)
     _overwrite_partitions(fresh.hint("rebalance", "year_month"), table)
     window = month_range(spark.table(table), from_month, to_month)
     emptied = (

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +41,20 @@ def text_key(text: Column) -> Column:
 def carried(docs: DataFrame, **columns: Column) -> DataFrame:
     """All columns of a row as one struct ``row``, so that added columns can't clash with them."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in columns.items()])
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session, once; they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    path = Path(tempfile.mkdtemp(prefix="doseledger-code-")) / "doseledger.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted((root / "doseledger").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(app)

@@ -41,20 +41,23 @@ def build_index(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
 
     A last empty word closes each document, so that one pass over the texts gives both.
     """
-    vocabulary = write_scratch(
-        items.select(F.explode("item_words").alias("word")).distinct().withColumn("term", F.monotonically_increasing_id()),
-        "vocabulary",
-    )
-    closing = items.sparkSession.createDataFrame([("", -1)], "word string, term bigint")
-    positions = docs.select(
+    spark = items.sparkSession
+    words = items.select(F.explode("item_words").alias("word")).distinct().withColumn("term", F.monotonically_increasing_id())
+    closing = spark.range(1).select(F.lit("").alias("word"), F.lit(-1).cast("long").alias("term"))
+    # written first, so that the planner knows its true size
+    vocabulary = write_scratch(words.unionByName(closing), "vocabulary")
+    # keys are made below the generator, else they would be made again for every word; an outer explode adds no
+    # filter on the array, which would make it twice
+    keyed = docs.select(
         F.coalesce(F.col(doc_id), F.lit(_NONE)).alias("id"),
         text_key(F.coalesce(F.col(text), F.lit(""))).alias("th"),
-        F.posexplode(F.concat(terms(F.col(text)), F.array(F.lit("")))).alias("pos", "word"),
+        F.concat(terms(F.col(text)), F.array(F.lit(""))).alias("all_words"),
     )
-    index = write_scratch(positions.join(vocabulary.unionByName(closing), "word").select("term", "id", "th", "pos"), "postings")
+    positions = keyed.select("id", "th", F.posexplode_outer("all_words").alias("pos", "word"))
+    index = write_scratch(positions.join(vocabulary, "word").select("term", "id", "th", "pos"), "postings")
     ends = index.filter("term = -1").select("id", "th", F.col("pos").cast("long").alias("n_words"))
-    words = vocabulary.join(index.filter("term >= 0").groupBy("term").count(), "term")
-    return index.filter("term >= 0"), ends, write_scratch(words, "term-counts")
+    counted = vocabulary.join(index.filter("term >= 0").groupBy("term").count(), "term")
+    return index.filter("term >= 0"), ends, write_scratch(counted, "term-counts")
 
 
 def anchors(items: DataFrame, counts: DataFrame, window: int, rarest: int = 2) -> DataFrame:

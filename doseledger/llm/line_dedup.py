@@ -22,11 +22,14 @@ _LAST = 2**63 - 1
 
 def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
-    exploded = docs.select(
+    # keys are made below the generator, else they would be made again for every line; an outer explode adds no
+    # filter on the array, which would make it twice
+    keyed = docs.select(
         F.coalesce(F.col(doc_id), F.lit(_LAST)).alias("id"),
         text_key(body).alias("th"),
-        F.posexplode(F.split(ascii_lower(body), "\n")).alias("pos", "line"),
+        F.split(ascii_lower(body), "\n").alias("all_lines"),
     )
+    exploded = keyed.select("id", "th", F.posexplode_outer("all_lines").alias("pos", "line"))
     key = strip_blanks(F.col("line"))
     return exploded.select("id", "th", "pos", key.alias("key")).filter(F.length("key") >= min_chars).select(
         "id", "th", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")

@@ -33,6 +33,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, BLANK_RUN), lambda w: w != "")
 
 
+# stands for a null id where rows pass Python, which would turn whole numbers with nulls into floats
+NO_ID = -(2**63)
+
+
+def id_in(doc_id: str) -> Column:
+    return F.coalesce(F.col(doc_id), F.lit(NO_ID))
+
+
+def id_out(column: str) -> Column:
+    return F.when(F.col(column) != NO_ID, F.col(column))
+
+
 def text_key(text: Column) -> Column:
     """A 64-bit key of a text; with the document id it names rows that are the same."""
     return F.xxhash64(text)

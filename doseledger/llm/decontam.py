@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from doseledger.functions.columns import once
-from doseledger.llm.common import ascii_lower, carried, text_key
+from doseledger.llm.common import ascii_lower, carried, id_in, id_out, text_key
 from doseledger.session import write_scratch
 
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_NONE = -(2**63)
 
 
 def terms(text: Column) -> Column:
@@ -49,7 +48,7 @@ def build_index(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     # keys are made below the generator, else they would be made again for every word; an outer explode adds no
     # filter on the array, which would make it twice
     keyed = docs.select(
-        F.coalesce(F.col(doc_id), F.lit(_NONE)).alias("id"),
+        id_in(doc_id).alias("id"),
         text_key(F.coalesce(F.col(text), F.lit(""))).alias("th"),
         F.concat(terms(F.col(text)), F.array(F.lit(""))).alias("all_words"),
     )
@@ -117,7 +116,7 @@ def phrase_hits(docs: DataFrame, items: DataFrame, found: DataFrame, window: int
         .agg(F.collect_set(F.struct("item", "start", "item_words")).alias("asked"))
         .withColumnsRenamed({"id": "a_id", "th": "a_th"})
     )
-    body = docs.select(F.coalesce(F.col(doc_id), F.lit(_NONE)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    body = docs.select(id_in(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     body = body.withColumn("th", text_key(F.col("body"))).join(asked, (F.col("id") == F.col("a_id")) & (F.col("th") == F.col("a_th")))
     spelt = once(body.select("id", "th", "asked", "body"), "doc_words", terms(F.col("body"))).drop("body")
     one = spelt.select("id", "th", "doc_words", F.explode("asked").alias("q")).select("id", "th", "doc_words", "q.item", "q.start", "q.item_words")
@@ -161,7 +160,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, doc_id: s
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
     """The rows that are not contaminated, with their own columns."""
     bad = contamination(docs, items, window).filter("contaminated").select("id", "th").distinct()
-    rows = carried(docs, id=F.coalesce("doc_id", F.lit(_NONE)), th=text_key(F.coalesce("text", F.lit(""))))
+    rows = carried(docs, id=id_in("doc_id"), th=text_key(F.coalesce("text", F.lit(""))))
     return rows.join(bad, ["id", "th"], "left_anti").select("row.*")
 
 
@@ -170,7 +169,7 @@ def op10_query(spark, sf_dir: str) -> DataFrame:
 
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
-        F.when(F.col("id") != _NONE, F.col("id")).alias("doc_id"),
+        id_out("id").alias("doc_id"),
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doseledger.llm.common import ship_package
+from doseledger.llm.common import id_in, id_out, ship_package
 from doseledger.session import write_scratch
 
 ADD, FLUSH, ENDINGS = 0.1, 500_000, 1024
@@ -249,7 +249,7 @@ def score_texts(
     ship_package(docs.sparkSession)
     body, held = F.coalesce(F.col(text), F.lit("")), F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(10))
     rows = docs.select(
-        F.col(doc_id).alias("id"),
+        id_in(doc_id).alias("id"),
         F.coalesce(held == 0, F.lit(False)).alias("held_out"),
         F.coalesce(held != 0, F.lit(False)).alias("learn"),
         body.alias("text"),
@@ -304,7 +304,7 @@ def score_texts(
     # the logarithms of counts + 0.1 of all tokens
     cost = F.col("top_cost") + F.coalesce("cost", F.lit(0.0)) + (F.col("n_tokens") - known) * float(np.log10(ADD))
     return out.select(
-        F.col("id").alias("doc_id"),
+        id_out("id").alias("doc_id"),
         "held_out",
         "n_tokens",
         known.cast("long").alias("n_known"),

@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from doseledger.llm import decontam, line_dedup, quality_rules, url_filter
+from doseledger.llm import (
+    decontam,
+    line_dedup,
+    lm_scoring,
+    quality_rules,
+    secret_tags,
+    shards,
+    simhash,
+    source_mix,
+    suffix_dedup,
+    url_filter,
+)
 
 QUERIES = {
+    "op1_lm_scoring": lm_scoring.op1_query,
+    "op2_source_mix": source_mix.op2_query,
+    "op3_secret_tags": secret_tags.op3_query,
+    "op4_suffix_dedup": suffix_dedup.op4_query,
     "op5_line_dedup": line_dedup.op5_query,
+    "op6_shards": shards.op6_query,
     "op7_quality_rules": quality_rules.op7_query,
+    "op8_simhash": simhash.op8_query,
     "op9_url_filter": url_filter.op9_query,
     "op10_decontamination": decontam.op10_query,
 }

@@ -128,20 +128,19 @@ def shard_rows(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", text: s
     return numbered.select("doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("place") - 1).alias("slot"))
 
 
+def shard_report(docs: DataFrame, shards: int = 8) -> DataFrame:
+    return shard_rows(docs, shards).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def write_shards(docs: DataFrame, path: str, shards: int = 8) -> None:
-    """Write the rows as one folder per shard; a row's texts decide, so equal texts lie together."""
+    """Write the rows as one folder per shard; equal texts lie together."""
     body = F.coalesce(F.col("text"), F.lit(""))
     rows = carried(docs, k1=F.xxhash64(body), k2=F.xxhash64(F.lit(1), body), size=(F.octet_length(body) + 1).cast("long"))
     groups = rows.groupBy("k1", "k2").agg(F.sum("size").alias("size"))
     placed = rows.join(balance(groups, shards), ["k1", "k2"])
-    placed.select("row.*", "shard").write.partitionBy("shard").parquet(path)
-
-
-def shard_report(docs: DataFrame, shards: int = 8) -> DataFrame:
-    out = shard_rows(docs, shards)
-    return out.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
-    )
+    placed.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], "shard").write.partitionBy("shard").parquet(path)
 
 
 def op6_query(spark, sf_dir: str) -> DataFrame:

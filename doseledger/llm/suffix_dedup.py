@@ -25,14 +25,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doseledger.llm.common import ship_package, text_key
+from doseledger.llm.common import id_in, ship_package, text_key
 from doseledger.session import write_scratch
 
 SPAN, GRAM = 200, 32
 REACH = SPAN - GRAM  # how far before its anchor a string may start
 BLOCK = 1 << 20
 SHARD_ROWS = 12_000
-_NONE = -(2**63)
 _rng = np.random.default_rng(2024)
 _CODES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -295,7 +294,7 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """For texts with repeated bytes: id, th, n_removed, n_spans, kept_sha256, kept (bytes). Equal rows give one."""
     ship_package(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(doc_id), F.lit(_NONE)).alias("id"), text_key(body).alias("th"), body.alias("text"))
+    rows = docs.select(id_in(doc_id).alias("id"), text_key(body).alias("th"), body.alias("text"))
     anchors = write_scratch(rows.mapInPandas(_anchor_rows, "id long, th long, pos int, anchor long, ctx long"), "anchors")
     twice = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
     met = write_scratch(anchors.join(twice, "anchor"), "met-anchors")
@@ -359,7 +358,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
-        F.coalesce(F.col(doc_id), F.lit(_NONE)).alias("id"),
+        id_in(doc_id).alias("id"),
         text_key(body).alias("th"),
         F.octet_length(body).cast("long").alias("n_bytes"),
         F.sha2(body, 256).alias("own_sha256"),

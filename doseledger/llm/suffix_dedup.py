@@ -31,7 +31,9 @@ from doseledger.session import write_scratch
 SPAN, GRAM = 200, 32
 REACH = SPAN - GRAM  # how far before its anchor a string may start
 BLOCK = 1 << 20
-SHARD_ROWS = 12_000
+SHARD_ROWS = 4_000  # contexts in a shard, about
+CUT_ROWS = 20_000  # contexts of one anchor beyond which it is cut over shards
+MERGE_KEYS = 2_000_000
 _rng = np.random.default_rng(2024)
 _CODES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -126,31 +128,30 @@ def refine(text: np.ndarray, depth: int = SPAN) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for i in range(8):
         key = key << np.uint64(8) | padded[i : i + n]
-    order = np.argsort(key, kind="stable")
-    own = key[order]
-    head = np.concatenate([[True], own[1:] != own[:-1]]) if n else np.zeros(0, bool)
-    known = 8
-    while True:
-        starts = np.flatnonzero(head)
-        rank = np.empty(n, np.int64)
-        group = np.repeat(starts, np.diff(np.append(starts, n)))
+    order = np.argsort(key, kind="stable").astype(np.int32)
+    key = key[order]
+    head = np.concatenate([[True], key[1:] != key[:-1]]) if n else np.zeros(0, bool)
+    del key
+    known, rank = 8, np.empty(n, np.int32)
+    while known < depth:
+        starts = np.flatnonzero(head).astype(np.int32)
+        sizes = np.diff(np.append(starts, n))
+        group = np.repeat(starts, sizes)
         rank[order] = group
-        if known >= depth:
-            return order
-        tied = np.flatnonzero(np.repeat(np.diff(np.append(starts, n)) > 1, np.diff(np.append(starts, n))))
+        tied = np.flatnonzero(np.repeat(sizes > 1, sizes))
         if not len(tied):
-            return order
+            break
         step = min(known, depth - known)
         at = order[tied]
         ahead = at + step
-        next_rank = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        joint = group[tied] * np.int64(n + 1) + next_rank
+        joint = group[tied].astype(np.int64) * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
         turn = np.argsort(joint, kind="stable")
         order[tied] = at[turn]
         joint = joint[turn]
         fresh = np.concatenate([[True], joint[1:] != joint[:-1]])
         head[tied] = fresh
         known += step
+    return order
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, base: np.ndarray, length: np.ndarray, depth: int = SPAN) -> np.ndarray:
@@ -160,7 +161,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, base: np.ndarray, lengt
     ``depth`` only and has no suffixes near a context's end, that is used where the earlier suffix, also moved on by a byte, still
     stands before. The contexts (first byte ``base``, ``length``) are independent, and one step is done for all at once.
     """
-    before, rank = np.full(len(text), -1, np.int64), np.full(len(text) + 1, -1, np.int64)
+    before, rank = np.full(len(text), -1, np.int32), np.full(len(text) + 1, -1, np.int32)
     before[order[1:]] = order[:-1]
     rank[order] = np.arange(len(order))
     last = np.full(len(base), -1, np.int64)
@@ -194,14 +195,15 @@ def repeated_starts(contexts: list[bytes], places: np.ndarray, firsts: np.ndarra
     length = np.array([len(c) for c in contexts])
     base = np.concatenate([[0], np.cumsum(length)[:-1]])
     text = np.frombuffer(b"".join(contexts), np.uint8)
-    row = np.repeat(np.arange(len(contexts)), length)
-    offset = np.arange(len(text)) - base[row]
+    row = np.repeat(np.arange(len(contexts), dtype=np.int32), length)
+    offset = np.arange(len(text), dtype=np.int32) - base.astype(np.int32)[row]
     valid = offset <= length[row] - SPAN
     order = refine(text)
     order = order[valid[order]]
     prefix = common_prefixes(text, order, base, length)
-    klass = np.cumsum(prefix < SPAN) - 1 if len(prefix) else np.zeros(0, np.int64)
+    klass = np.cumsum(prefix < SPAN, dtype=np.int32) - 1
     rows, offsets = row[order], offset[order]
+    del row, offset, valid, order, prefix
     # equal strings of one class at one and the same place are one string
     place = np.lexsort((firsts[rows] + offsets, places[rows], klass))
     k, d, p = klass[place], places[rows][place], (firsts[rows] + offsets)[place]
@@ -219,38 +221,55 @@ def _runs(offsets: np.ndarray) -> list[int]:
 
 
 def _sort_shard(shard: pd.DataFrame) -> pd.DataFrame:
-    """Rows of kind 0: runs of repeated starts of a context. Of kind 1, for anchors cut over shards: the keys of its strings."""
+    """Rows with ``runs``: the repeated starts of a context. Rows with ``keys``: of an anchor cut over shards, the sorted keys of
+    its strings in this shard, cut by binary search at the borders of the merge."""
     shard = shard.sort_values(["anchor", "ctx"], kind="stable").reset_index(drop=True)
     contexts = list(shard["body"])
     places = pd.factorize(pd.MultiIndex.from_arrays([shard["id"], shard["th"]]))[0]
     rows, offsets, klass, several = repeated_starts(contexts, places, shard["first"].to_numpy(np.int64), shard["n"].to_numpy() > 1)
-    out = []
     turn = np.lexsort((offsets, rows))
     rows, offsets, several = rows[turn], offsets[turn], several[turn]
-    cut = shard["cut"].to_numpy(bool)
     bounds = np.searchsorted(rows, np.arange(len(contexts) + 1))
+    anchor, ctx, cut = shard["anchor"].to_numpy(), shard["ctx"].to_numpy(), shard["cut"].to_numpy()
+    out, asked = [], {}
     for i in range(len(contexts)):
-        own = slice(bounds[i], bounds[i + 1])
-        again = offsets[own][several[own]]
-        key = (shard["anchor"][i], shard["ctx"][i], shard["salt"][i])
+        own = offsets[bounds[i] : bounds[i + 1]]
+        again = own[several[bounds[i] : bounds[i + 1]]]
         if len(again):
-            out.append((*key, 0, _runs(again), None))
+            out.append((anchor[i], ctx[i], _runs(again), 0, None, None, None, None))
         if cut[i]:
-            data = np.frombuffer(contexts[i], np.uint8)
-            hashes = Hashes(data, 0).of(offsets[own], offsets[own] + SPAN)
-            out.append((*key, 1, offsets[own].tolist(), hashes.view(np.int64).tolist()))
-    return pd.DataFrame(out, columns=["anchor", "ctx", "salt", "kind", "runs", "keys"])
-
-
-def _merge_keys(part: pd.DataFrame) -> pd.DataFrame:
-    """Strings whose key is in the sorted keys of another shard, by binary search."""
-    part = part.sort_values(["salt", "key"], kind="stable").reset_index(drop=True)
-    key, salt = part["key"].to_numpy(np.int64), part["salt"].to_numpy(np.int64)
-    bounds = np.searchsorted(salt, np.unique(salt, return_index=False))
-    runs = [np.unique(x) for x in np.split(key, bounds[1:])]
-    pooled = np.sort(np.concatenate(runs))
-    shards_with = np.searchsorted(pooled, key, "right") - np.searchsorted(pooled, key, "left")
-    return part.loc[shards_with > 1, ["anchor", "ctx", "offset"]]
+            keys = Hashes(np.frombuffer(contexts[i], np.uint8), 0).of(own, own + SPAN)
+            # where the string stands; a context found several times stands elsewhere than any other
+            here = shard["th"][i] ^ shard["id"][i] if shard["n"][i] == 1 else ctx[i]
+            spots = _mix(np.full(len(own), here, np.int64).view(np.uint64)) + (own + shard["first"][i]).astype(np.uint64)
+            asked.setdefault((anchor[i], cut[i]), []).append((keys, np.full(len(own), ctx[i]), own, spots.view(np.int64)))
+    for (of, parts), found in asked.items():
+        keys, ctxs, starts, spots = (np.concatenate(x) for x in zip(*found))
+        turn = np.argsort(keys, kind="stable")
+        keys, ctxs, starts, spots = keys[turn], ctxs[turn], starts[turn], spots[turn]
+        borders = [(2**64 * b) // int(parts) for b in range(1, int(parts))]
+        at = [0, *np.searchsorted(keys, np.array(borders, np.uint64)), len(keys)]
+        for b, (low, high) in enumerate(zip(at[:-1], at[1:])):
+            if high > low:
+                out.append((of, 0, None, b, keys[low:high].view(np.int64), ctxs[low:high], starts[low:high], spots[low:high]))
+    return pd.DataFrame(out, columns=["anchor", "ctx", "runs", "part", "keys", "ctxs", "starts", "spots"])
+
+
+def _merge_shards(part: pd.DataFrame) -> pd.DataFrame:
+    """Strings of one shard that another shard has too: each shard's sorted keys are looked up in all by binary search."""
+    keys = [np.asarray(k, np.int64).view(np.uint64) for k in part["keys"]]
+    pooled, spots = np.concatenate(keys), np.concatenate([np.asarray(x, np.int64) for x in part["spots"]])
+    turn = np.lexsort((spots, pooled))
+    pooled, spots = pooled[turn], spots[turn]
+    # one entry for each place of a string
+    pooled = pooled[np.concatenate([[True], (pooled[1:] != pooled[:-1]) | (spots[1:] != spots[:-1])])]
+    out = []
+    for own, ctxs, starts in zip(keys, part["ctxs"], part["starts"]):
+        many = np.searchsorted(pooled, own, "right") - np.searchsorted(pooled, own, "left") > 1
+        out.append(pd.DataFrame({"anchor": part["anchor"].iloc[0], "ctx": np.asarray(ctxs)[many], "start": np.asarray(starts)[many]}))
+    found = pd.concat(out).sort_values(["ctx", "start"])
+    rows = [(a, c, _runs(g["start"].to_numpy(np.int64))) for (a, c), g in found.groupby(["anchor", "ctx"], sort=False)]
+    return pd.DataFrame(rows, columns=["anchor", "ctx", "runs"])
 
 
 def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -260,8 +279,8 @@ def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             data = text.encode("utf-8", "surrogatepass")
             for w in wanted:
                 first = max(0, w["pos"] - REACH)
-                out.append((id_, th, w["anchor"], w["ctx"], w["n"], w["shard"], w["salt"], w["cut"], first, data[first : w["pos"] + SPAN]))
-        yield pd.DataFrame(out, columns=["id", "th", "anchor", "ctx", "n", "shard", "salt", "cut", "first", "body"])
+                out.append((id_, th, w["anchor"], w["ctx"], w["n"], w["shard"], w["cut"], first, data[first : w["pos"] + SPAN]))
+        yield pd.DataFrame(out, columns=["id", "th", "anchor", "ctx", "n", "shard", "cut", "first", "body"])
 
 
 def removed_mask(n: int, whole: np.ndarray, parts) -> np.ndarray:
@@ -290,7 +309,7 @@ def _cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["id", "th", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shard_rows: int = SHARD_ROWS) -> DataFrame:
+def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shard_rows: int = SHARD_ROWS, cut_rows: int = CUT_ROWS) -> DataFrame:
     """For texts with repeated bytes: id, th, n_removed, n_spans, kept_sha256, kept (bytes). Equal rows give one."""
     ship_package(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
@@ -305,13 +324,14 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     total = several.agg(F.sum("m")).first()[0] or 0
     shards = max(1, -(-total // shard_rows))
-    salts = F.ceil(F.col("m") / shard_rows)
+    salts = F.ceil(F.col("m") / cut_rows)
     salt = F.pmod("ctx", salts)
+    parts = F.when(salts > 1, F.ceil(F.col("m") * SPAN / MERGE_KEYS)).otherwise(0)
     to_sort = contexts.join(several, "anchor").select(
-        "at.id", "at.th", "at.pos", "anchor", "ctx", "n", salt.alias("salt"), (salts > 1).alias("cut"),
+        "at.id", "at.th", "at.pos", "anchor", "ctx", "n", parts.cast("int").alias("cut"),
         F.when(salts > 1, F.xxhash64("anchor", salt)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))).alias("shard"),
     )
-    wanted = to_sort.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "anchor", "ctx", "n", "shard", "salt", "cut")).alias("wanted"))
+    wanted = to_sort.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "anchor", "ctx", "n", "shard", "cut")).alias("wanted"))
     # whole contexts by place; the others by the key that their runs come back with
     marked = met.join(contexts.select("anchor", "ctx", "n"), ["anchor", "ctx"])
     places = marked.groupBy("id", "th").agg(
@@ -323,24 +343,14 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = write_scratch(found, "repeating-texts")
 
     bodies = found.filter("wanted IS NOT NULL").select("id", "th", "text", "wanted").mapInPandas(
-        _context_rows, "id long, th long, anchor long, ctx long, n long, shard long, salt long, cut boolean, first long, body binary"
+        _context_rows, "id long, th long, anchor long, ctx long, n long, shard long, cut int, first long, body binary"
     )
     ordered = bodies.groupBy("shard").applyInPandas(
-        _sort_shard, "anchor long, ctx long, salt long, kind int, runs array<int>, keys array<long>"
+        _sort_shard, "anchor long, ctx long, runs array<int>, part int, keys array<long>, ctxs array<long>, starts array<int>, spots array<long>"
     )
     ordered = write_scratch(ordered, "sorted-shards")
-    strings = ordered.filter("kind = 1").select("anchor", "ctx", "salt", F.explode_outer(F.arrays_zip(F.col("runs").alias("offset"), F.col("keys").alias("key"))).alias("s"))
-    strings = strings.select("anchor", "ctx", "salt", "s.offset", "s.key")
-    buckets = max(1, -(-strings.count() // 500_000))
-    across = (
-        strings.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-        .groupBy("anchor", "bucket")
-        .applyInPandas(_merge_keys, "anchor long, ctx long, offset int")
-        .groupBy("anchor", "ctx")
-        .agg(F.sort_array(F.collect_set("offset")).alias("at"))
-        .select("anchor", "ctx", F.flatten(F.transform("at", lambda o: F.array(o, o + 1))).alias("runs"))
-    )
-    runs = ordered.filter("kind = 0").select("anchor", "ctx", "runs").unionByName(across)
+    across = ordered.filter("keys IS NOT NULL").groupBy("anchor", "part").applyInPandas(_merge_shards, "anchor long, ctx long, runs array<int>")
+    runs = ordered.filter("runs IS NOT NULL").select("anchor", "ctx", "runs").unionByName(across)
     parts = (
         found.select("id", "th", F.explode("single").alias("s"))
         .select("id", "th", "s.pos", "s.anchor", "s.ctx")
@@ -353,7 +363,7 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
-def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
@@ -363,7 +373,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.octet_length(body).cast("long").alias("n_bytes"),
         F.sha2(body, 256).alias("own_sha256"),
     )
-    cut = write_scratch(repeated_bytes(docs, doc_id, text).drop("kept"), "cut-texts")
+    cut = write_scratch(repeated_bytes(docs, doc_id, text, **sizes).drop("kept"), "cut-texts")
     return rows.join(cut, ["id", "th"], "left").select(
         "doc_id",
         "n_bytes",

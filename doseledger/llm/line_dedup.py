@@ -39,11 +39,9 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 10) -> DataFrame:
     """Per row: doc_id, n_lines, n_dropped and kept_text, the lines that stay joined by newlines."""
     lines = write_scratch(_lines(docs, doc_id, text, min_chars), "lines")
-    shared = (
-        lines.groupBy("h1", "h2")
-        .agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
-        .filter("first_id <> last_id")
-    )
+    shared = lines.groupBy("h1", "h2").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    # as a table of its own, both sides of the join are dealt for it, and a line that many share can be split
+    shared = write_scratch(shared.filter("first_id <> last_id"), "shared-lines")
     drops = (
         lines.join(shared, ["h1", "h2"])
         .filter("id <> first_id")

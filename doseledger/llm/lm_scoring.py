@@ -256,21 +256,29 @@ def score_texts(
     )
     words = word_counts(rows)
     n, v, ends = (int(x or 0) for x in words.agg(F.sum("c"), F.count(F.lit(1)), F.sum(F.when(F.col("word") == END, F.col("c")))).first())
-    # the most frequent words by rank, ties by word: a list that the parameter bounds
-    frequent = words.filter(F.col("word") != END).orderBy(F.desc("c"), "word").limit(top_words).collect()
+    # the most frequent words, whole levels of counts as long as they fit; the levels are few and the words at most ``top_words``
+    level = F.floor(16 * F.log2("c"))
+    known = words.filter(F.col("word") != END).withColumn("level", level)
+    room, lowest = top_words, None
+    for r in sorted(known.groupBy("level").count().collect(), key=lambda r: -r["level"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        lowest = r["level"]
+    frequent = [] if lowest is None else known.filter(F.col("level") >= lowest).collect()
+    frequent.sort(key=lambda r: (-r["c"], r["word"]))
     listed = ([(END, ends)] if ends else []) + [(r["word"], r["c"]) for r in frequent]
     top = {w.encode("utf-8", "surrogatepass"): i for i, (w, _) in enumerate(listed)}
     own = listed[:own_classes]
     prices = np.log10(np.array([c for _, c in listed], float) + ADD)
 
-    others = words.filter(F.col("word") != END)
-    if len(listed) > own_classes:
+    # words that share a class: all but the first ones of the list; ties by word
+    others = known
+    if own[len(listed) - len(frequent) :]:
         last = own[-1]
         others = others.filter((F.col("c") < last[1]) | ((F.col("c") == last[1]) & (F.col("word") > last[0])))
-    elif frequent:
-        others = others.limit(0)
     total, n_words = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    sums = others.mapInPandas(_class_sums, "class_no int, total double, words long")
+    sums = others.select("word", "c").mapInPandas(_class_sums, "class_no int, total double, words long")
     for r in sums.groupBy("class_no").agg(F.sum("total").alias("total"), F.sum("words").alias("words")).collect():
         total[r["class_no"]], n_words[r["class_no"]] = r["total"], r["words"]
     # the last shared class is an end that no training text has
@@ -294,20 +302,18 @@ def score_texts(
     asked = encoded.select("row", F.explode_outer(F.arrays_zip("rare", "times")).alias("w")).select(
         "row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")
     )
-    unlisted = words.filter(F.col("word") != END)
-    if len(frequent) == top_words:
-        unlisted = unlisted.filter(F.col("c") <= frequent[-1]["c"])
-    met = asked.join(unlisted, "word")
+    unlisted = known if lowest is None else known.filter(F.col("level") < lowest)
+    met = asked.join(unlisted.select("word", "c"), "word")
     per_row = met.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("c") + F.lit(ADD))).alias("cost"), F.sum("times").alias("known"))
     out = scored.join(per_row, "row", "left")
-    known = F.col("top_known") + F.coalesce("known", F.lit(0))
+    n_known = F.col("top_known") + F.coalesce("known", F.lit(0))
     # the logarithms of counts + 0.1 of all tokens
-    cost = F.col("top_cost") + F.coalesce("cost", F.lit(0.0)) + (F.col("n_tokens") - known) * float(np.log10(ADD))
+    cost = F.col("top_cost") + F.coalesce("cost", F.lit(0.0)) + (F.col("n_tokens") - n_known) * float(np.log10(ADD))
     return out.select(
         id_out("id").alias("doc_id"),
         "held_out",
         "n_tokens",
-        known.cast("long").alias("n_known"),
+        n_known.cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (cost - F.col("n_tokens") * float(np.log10(n + ADD * (v + 1)))).alias("base_score"),
         (F.col("chain") + cost).alias("score"),

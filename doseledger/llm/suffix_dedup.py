@@ -25,10 +25,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doseledger.llm.common import id_in, ship_package, text_key
+from doseledger.llm.common import drop_scratch, id_in, ship_package, text_key
 from doseledger.session import write_scratch
 
-SPAN, GRAM = 200, 32
+SPAN, GRAM = 200, 64
 REACH = SPAN - GRAM  # how far before its anchor a string may start
 BLOCK = 1 << 20
 SHARD_ROWS = 4_000  # contexts in a shard, about
@@ -117,21 +117,25 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(dict(zip(("id", "th", "pos", "anchor", "ctx"), (np.concatenate(x) for x in zip(*parts)))))
 
 
-def refine(text: np.ndarray, depth: int = SPAN) -> np.ndarray:
+def eight_bytes(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as a number that sorts like them."""
+    padded, key = np.concatenate([text, np.zeros(8, np.uint8)]), np.zeros(len(text), np.uint64)
+    for i in range(8):
+        key = key << np.uint64(8) | padded[i : i + len(text)]
+    return key
+
+
+def refine(key: np.ndarray, depth: int = SPAN) -> np.ndarray:
     """All positions in the order of their next ``depth`` bytes, by Larsson-Sadakane refinement.
 
     The first ranks come from eight bytes; then only groups that are still tied are sorted again, by the rank of the
     position as far ahead as is known, so that each round doubles the depth.
     """
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = key << np.uint64(8) | padded[i : i + n]
-    order = np.argsort(key, kind="stable").astype(np.int32)
-    key = key[order]
-    head = np.concatenate([[True], key[1:] != key[:-1]]) if n else np.zeros(0, bool)
-    del key
+    n = len(key)
+    order = np.argsort(key).astype(np.int32)
+    ordered = key[order]
+    head = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if n else np.zeros(0, bool)
+    del ordered
     known, rank = 8, np.empty(n, np.int32)
     while known < depth:
         starts = np.flatnonzero(head).astype(np.int32)
@@ -145,7 +149,7 @@ def refine(text: np.ndarray, depth: int = SPAN) -> np.ndarray:
         at = order[tied]
         ahead = at + step
         joint = group[tied].astype(np.int64) * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        turn = np.argsort(joint, kind="stable")
+        turn = np.argsort(joint)
         order[tied] = at[turn]
         joint = joint[turn]
         fresh = np.concatenate([[True], joint[1:] != joint[:-1]])
@@ -154,20 +158,30 @@ def refine(text: np.ndarray, depth: int = SPAN) -> np.ndarray:
     return order
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, base: np.ndarray, length: np.ndarray, depth: int = SPAN) -> np.ndarray:
+def leading_zero_bytes(words: np.ndarray) -> np.ndarray:
+    """Of words other than zero."""
+    count = np.zeros(len(words), np.int64)
+    for width in (4, 2, 1):
+        none = words >> np.uint64(64 - 8 * width) == 0
+        count += none * width
+        words = np.where(none, words << np.uint64(8 * width), words)
+    return count
+
+
+def common_prefixes(key: np.ndarray, order: np.ndarray, base: np.ndarray, length: np.ndarray, depth: int = SPAN) -> np.ndarray:
     """Kasai's common prefixes of each suffix in ``order`` with the one before it, ``depth`` at most.
 
     Going one byte on in the text loses one byte of prefix at most, so each step starts where the last one ended. As the order holds to
     ``depth`` only and has no suffixes near a context's end, that is used where the earlier suffix, also moved on by a byte, still
     stands before. The contexts (first byte ``base``, ``length``) are independent, and one step is done for all at once.
     """
-    before, rank = np.full(len(text), -1, np.int32), np.full(len(text) + 1, -1, np.int32)
+    before, rank = np.full(len(key), -1, np.int32), np.full(len(key) + 1, -1, np.int32)
     before[order[1:]] = order[:-1]
     rank[order] = np.arange(len(order))
     last = np.full(len(base), -1, np.int64)
-    found = np.zeros(len(text), np.int16)
+    found = np.zeros(len(key), np.int16)
     prefix = np.zeros(len(base), np.int64)
-    padded = np.concatenate([text, np.zeros(depth, np.uint8)])
+    padded = np.concatenate([key, np.zeros(depth, np.uint64)])
     for offset in range(int(length.max()) - depth + 1):
         lanes = np.flatnonzero(length - depth >= offset)
         at = base[lanes] + offset
@@ -175,43 +189,50 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, base: np.ndarray, lengt
         moved = rank[last[lanes] + 1]
         holds = (other >= 0) & (last[lanes] >= 0) & (moved >= 0) & (moved < rank[at])
         own = np.where(holds, np.maximum(prefix[lanes] - 1, 0), 0)
-        going = np.flatnonzero(other >= 0)
+        going = np.flatnonzero((other >= 0) & (own < depth))
         while len(going):
-            own_g = own[going]
-            same = (own_g < depth) & (padded[at[going] + np.minimum(own_g, depth - 1)] == padded[other[going] + np.minimum(own_g, depth - 1)])
+            # eight bytes at a time; the first that differs shows in the highest bit of the difference
+            differ = padded[at[going] + own[going]] ^ padded[other[going] + own[going]]
+            same = differ == 0
+            ended = going[~same]
+            own[ended] += leading_zero_bytes(differ[~same])
             going = going[same]
-            own[going] += 1
+            own[going] += 8
+            going = going[own[going] < depth]
+        own = np.minimum(own, depth)
         prefix[lanes], last[lanes] = own, other
         found[at] = own
     return found[order]
 
 
-def repeated_starts(contexts: list[bytes], places: np.ndarray, firsts: np.ndarray, several_times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(context number, offset, class, repeated) of every string of SPAN bytes in the contexts.
+def repeated_starts(contexts: list[bytes], places: np.ndarray, firsts: np.ndarray, several_times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(mask over the joined contexts of the starts of repeated strings, first byte of each context there).
 
     ``places`` and ``firsts``: the document, as a number, and the position there of each context; ``several_times``: whether
     the context stands elsewhere as well.
     """
     length = np.array([len(c) for c in contexts])
-    base = np.concatenate([[0], np.cumsum(length)[:-1]])
-    text = np.frombuffer(b"".join(contexts), np.uint8)
+    base = np.cumsum(length) - length
+    key = eight_bytes(np.frombuffer(b"".join(contexts), np.uint8))
     row = np.repeat(np.arange(len(contexts), dtype=np.int32), length)
-    offset = np.arange(len(text), dtype=np.int32) - base.astype(np.int32)[row]
-    valid = offset <= length[row] - SPAN
-    order = refine(text)
-    order = order[valid[order]]
-    prefix = common_prefixes(text, order, base, length)
-    klass = np.cumsum(prefix < SPAN, dtype=np.int32) - 1
-    rows, offsets = row[order], offset[order]
-    del row, offset, valid, order, prefix
-    # equal strings of one class at one and the same place are one string
-    place = np.lexsort((firsts[rows] + offsets, places[rows], klass))
-    k, d, p = klass[place], places[rows][place], (firsts[rows] + offsets)[place]
-    starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
-    differs = several_times[rows[place]].copy()
-    differs[1:] |= (k[1:] == k[:-1]) & ((d[1:] != d[:-1]) | (p[1:] != p[:-1]))
-    several = np.maximum.reduceat(differs, starts) if len(starts) else np.zeros(0, bool)
-    return rows, offsets, klass, several[klass] if len(klass) else np.zeros(0, bool)
+    offset = np.arange(len(key), dtype=np.int32) - base.astype(np.int32)[row]
+    order = refine(key)
+    order = order[(offset <= length[row] - SPAN)[order]]
+    tied = common_prefixes(key, order, base, length) >= SPAN
+    # only strings with an equal neighbour are looked at further
+    klass = np.cumsum(~tied, dtype=np.int32)
+    shared = np.flatnonzero(tied | np.append(tied[1:], False))
+    mask = np.zeros(len(key), bool)
+    mask[order] = several_times[row[order]]
+    at, k = order[shared], klass[shared]
+    if len(at):
+        place = places[row[at]].astype(np.int64) << 40 | (firsts[row[at]] + offset[at])
+        starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        # equal strings at one and the same place are one string
+        apart = np.minimum.reduceat(place, starts) != np.maximum.reduceat(place, starts)
+        apart |= np.logical_or.reduceat(several_times[row[at]], starts)
+        mask[at] = np.repeat(apart, np.diff(np.append(starts, len(at))))
+    return mask, base
 
 
 def _runs(offsets: np.ndarray) -> list[int]:
@@ -226,15 +247,12 @@ def _sort_shard(shard: pd.DataFrame) -> pd.DataFrame:
     shard = shard.sort_values(["anchor", "ctx"], kind="stable").reset_index(drop=True)
     contexts = list(shard["body"])
     places = pd.factorize(pd.MultiIndex.from_arrays([shard["id"], shard["th"]]))[0]
-    rows, offsets, klass, several = repeated_starts(contexts, places, shard["first"].to_numpy(np.int64), shard["n"].to_numpy() > 1)
-    turn = np.lexsort((offsets, rows))
-    rows, offsets, several = rows[turn], offsets[turn], several[turn]
-    bounds = np.searchsorted(rows, np.arange(len(contexts) + 1))
+    mask, base = repeated_starts(contexts, places, shard["first"].to_numpy(np.int64), shard["n"].to_numpy() > 1)
     anchor, ctx, cut = shard["anchor"].to_numpy(), shard["ctx"].to_numpy(), shard["cut"].to_numpy()
     out, asked = [], {}
     for i in range(len(contexts)):
-        own = offsets[bounds[i] : bounds[i + 1]]
-        again = own[several[bounds[i] : bounds[i + 1]]]
+        own = np.arange(len(contexts[i]) - SPAN + 1)
+        again = np.flatnonzero(mask[base[i] : base[i] + len(own)])
         if len(again):
             out.append((anchor[i], ctx[i], _runs(again), 0, None, None, None, None))
         if cut[i]:
@@ -317,6 +335,7 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     anchors = write_scratch(rows.mapInPandas(_anchor_rows, "id long, th long, pos int, anchor long, ctx long"), "anchors")
     twice = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
     met = write_scratch(anchors.join(twice, "anchor"), "met-anchors")
+    drop_scratch(anchors)
     contexts = met.groupBy("anchor", "ctx").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "th", "pos")).alias("at")
     )
@@ -350,6 +369,7 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     ordered = write_scratch(ordered, "sorted-shards")
     across = ordered.filter("keys IS NOT NULL").groupBy("anchor", "part").applyInPandas(_merge_shards, "anchor long, ctx long, runs array<int>")
+    drop_scratch(met)
     runs = ordered.filter("runs IS NOT NULL").select("anchor", "ctx", "runs").unionByName(across)
     parts = (
         found.select("id", "th", F.explode("single").alias("s"))

@@ -52,6 +52,15 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def spread_sample(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """About ``rows`` rows whose hash of ``columns`` is lowest: a filter beside the scan, with no task that gathers more."""
+    total = df.count()
+    if total <= rows:
+        return df
+    level = int(2**30 * rows / total)
+    return df.filter(F.pmod(F.xxhash64(*columns), F.lit(2**30)) < level)
+
+
 def carried(docs: DataFrame, **columns: Column) -> DataFrame:
     """All columns of a row as one struct ``row``, so that added columns can't clash with them."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in columns.items()])

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doseledger.functions.columns import once
-from doseledger.llm.common import BLANKS, carried, strip_blanks, words
+from doseledger.llm.common import BLANKS, carried, spread_sample, strip_blanks, words
 from doseledger.session import write_scratch
 
 SYMBOLS = "#*$%&|<>"
@@ -121,8 +121,9 @@ def apply_rules(df: DataFrame, order) -> DataFrame:
 
 
 def rule_order(bodies: DataFrame, sample_rows: int = 1000, rules=tuple(RULES)) -> list[str]:
-    """Rules by rejections per second on a sample: the ``sample_rows`` texts of smallest hash."""
-    sample = write_scratch(bodies.select("body").orderBy(F.xxhash64("body")).limit(sample_rows), "quality-sample")
+    """Rules by rejections per second on a sample of about ``sample_rows`` rows, picked by hash."""
+    picked = spread_sample(bodies.withColumn("key", F.xxhash64("row")), sample_rows, "key").select("body")
+    sample = write_scratch(picked, "quality-sample")
     gain = {}
     for rule in rules:
         start = time.perf_counter()

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doseledger.llm.common import id_in, id_out, ship_package
+from doseledger.llm.common import id_in, id_out, ship_package, spread_sample
 
 #: fixed values: base patterns, their least lengths, and the order of kinds
 ASSIGN = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -286,16 +286,17 @@ def training_windows(texts, width: int = 48, each: int = 3) -> list[tuple[np.nda
 
 
 def train(docs: DataFrame, text: str = "text", sample_texts: int = 300, most_chars: int = 100_000) -> dict[str, np.ndarray] | None:
-    """Weights from at most ``sample_texts`` texts with a key word or the like and as many others, by least hash.
+    """Weights from about ``sample_texts`` texts with a key word or the like and as many of all, picked by hash.
 
     Texts over ``most_chars`` are left out of the sample only.
     """
-    body = docs.select(F.col(text).alias("text")).filter(F.length("text").between(1, most_chars))
+    body = docs.select(F.col(text).alias("text"), F.monotonically_increasing_id().alias("n")).filter(F.length("text").between(1, most_chars))
     marks = [F.contains(F.col("text"), F.lit(m)) for m in ("AKIA", "assw", "ASSW", "ecret", "ECRET", "oken", "OKEN", "key", "KEY")]
     marked = marks[0]
     for m in marks[1:]:
         marked = marked | m
-    texts = [r["text"] for part in (body.filter(marked), body) for r in part.orderBy(F.xxhash64("text"), "text").limit(sample_texts).collect()]
+    parts = [spread_sample(part, sample_texts, "text", "n").select("text").limit(2 * sample_texts) for part in (body.filter(marked), body)]
+    texts = [r["text"] for part in parts for r in part.collect()]
     windows = training_windows(texts)
     if not any((w[4] == BEGIN).any() for w in windows):
         return None

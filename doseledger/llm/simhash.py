@@ -220,15 +220,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, fp (signed 64 bits), component_id (smallest id it reaches)."""
+    """One row per input row: doc_id, fp (signed 64 bits), component_id (smallest id it reaches), root (a print that names the component)."""
     ship_package(docs.sparkSession)
     rows = write_scratch(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text)).alias("fp")), "fingerprints")
     per_print = write_scratch(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
     roots = write_scratch(components(links(per_print)), "components")
     named = per_print.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = write_scratch(named.select("fp", "root").join(least, "root").select("fp", "component_id"), "component-ids")
-    return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = write_scratch(named.select("fp", "root").join(least, "root").select("fp", "component_id", "root"), "component-ids")
+    return rows.join(ids, "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -236,12 +236,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows with a null id whose whole component has none are told apart by text as well.
     """
-    judged = near_duplicates(docs)
-    keys = judged.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k_id"), "fp").distinct()
+    judged = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keys = judged.select(F.col("doc_id").alias("k_id"), F.col("fp").alias("k_fp"), "root").distinct()
     rows = carried(docs, id=F.col("doc_id"), fp=fingerprints(F.col("text")))
-    kept = rows.join(keys.select("k_id", F.col("fp").alias("k_fp")), F.col("id").eqNullSafe(F.col("k_id")) & (F.col("fp") == F.col("k_fp")))
-    one = Window.partitionBy("id", "component").orderBy(F.xxhash64("row.text"), F.to_json("row"))
-    return kept.withColumn("component", F.coalesce("id", "fp")).withColumn("n", F.row_number().over(one)).filter("n = 1").select("row.*")
+    kept = rows.join(keys, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("fp") == F.col("k_fp")))
+    # few rows share an id; only the first of each task goes on
+    one = Window.partitionBy("root").orderBy(F.xxhash64("row.text"), F.to_json("row"))
+    return kept.withColumn("n", F.row_number().over(one)).filter("n = 1").select("row.*")
 
 
 def op8_query(spark, sf_dir: str) -> DataFrame:

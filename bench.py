@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from doseledger.plans.catalogue import QUERIES
@@ -24,6 +25,7 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="doseledger-bench-"),
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
         },
     )

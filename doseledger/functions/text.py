@@ -6,15 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: words left out of term counts ------------------------------------------
-STOP_WORDS = tuple(
-    """
-    with the and for from this that your have been which drug take taking medicine medicines
-    doctor pharmacist nhs more also some other tell used may will does when they what about
-    than then there these those such into over after before because should could would their
-    them here very just like make most only same each well even much many know need sure feel
-    stop start keep body time days week weeks include including contact call seek help away
-    side effects effect
-    """.split()
+STOP_WORDS = (
+    "with", "the", "and", "for", "from", "this", "that", "your", "have", "been", "which", "drug",
+    "take", "taking", "medicine", "medicines", "doctor", "pharmacist", "nhs", "more", "also",
+    "some", "other", "tell", "used", "may", "will", "does", "when", "they", "what", "about",
+    "than", "then", "there", "these", "those", "such", "into", "over", "after", "before",
+    "because", "should", "could", "would", "their", "them", "here", "very", "just", "like", "make",
+    "most", "only", "same", "each", "well", "even", "much", "many", "know", "need", "sure", "feel",
+    "stop", "start", "keep", "body", "time", "days", "week", "weeks", "include", "including",
+    "contact", "call", "seek", "help", "away", "side", "effects", "effect",
 )
 # --- end of fixed values ------------------------------------------------------------------
 

@@ -18,7 +18,7 @@ EVENT_SCHEMA_URL = "https://openlineage.io/spec/1-0-5/OpenLineage.json"
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Typed events; absent input and output lists are empty, unknown states are left out."""
+    """Typed events; absent input and output lists are empty. :func:`rejected_events` has the lines left out."""
     raw = spark.read.schema(RUN_EVENT).json(path)
     none = F.array().cast(RUN_EVENT["inputs"].dataType)
     return raw.filter(F.col("eventType").isin(list(RUN_STATES))).select(
@@ -34,6 +34,15 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def rejected_events(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that :func:`read_events` leaves out, with the reason."""
+    event = F.from_json("value", RUN_EVENT, {"mode": "PERMISSIVE"})
+    lines = spark.read.text(path).filter(F.trim("value") != "").withColumn("state", event["eventType"])
+    known = F.col("state").isin(list(RUN_STATES))
+    reason = F.when(F.col("state").isNull(), "no event type or not JSON").when(~known, "unknown event type")
+    return lines.select("value", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def lineage_runs(events: DataFrame) -> DataFrame:
     """One row per run: final state, start, end and seconds between; a run without end is open."""
     ended = F.col("event_type").isin("COMPLETE", "FAIL")

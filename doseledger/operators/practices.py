@@ -56,13 +56,17 @@ def pit_lookup(dim: DataFrame, at, practice_id: str | None = None) -> DataFrame:
     return rows if practice_id is None else rows.filter(F.col("practice_id") == practice_id)
 
 
-def pit_join(facts: DataFrame, dim: DataFrame) -> DataFrame:
+def pit_join(facts: DataFrame, dim: DataFrame, impute_month_start: bool = False) -> DataFrame:
     """Every dated fact with the attributes its practice had on that date.
 
     An equality on practice with the validity range as a residual. The dimension is broadcast only
     if its size allows; otherwise both sides shuffle by practice and adaptive execution splits a
-    practice that holds many facts. Facts without a matching version are left out.
+    practice that holds many facts. Facts without a matching version are left out. With
+    ``impute_month_start`` a fact known by month only counts as of the month's first day.
     """
+    at = facts["date"]
+    if impute_month_start:
+        at = F.coalesce(at, F.try_to_date(F.concat(facts["year_month"], F.lit("-01"))))
     versions = dim.select(
         "practice_id",
         F.col("setting").alias("setting_then"),
@@ -73,7 +77,7 @@ def pit_join(facts: DataFrame, dim: DataFrame) -> DataFrame:
     )
     return facts.join(
         versions,
-        (facts["row_id"] == versions["practice_id"]) & _valid_at(versions, facts["date"]),
+        (facts["row_id"] == versions["practice_id"]) & _valid_at(versions, at),
     ).drop("practice_id", "valid_from", "valid_to")
 
 

@@ -163,6 +163,7 @@ def inject_history(silver_rows: DataFrame, practice_id: str, old_ccg: str, date:
     """Silver plus one altered copy of a row of a practice, to give it an earlier version."""
     copy = (
         silver_rows.filter(F.col("row_id") == practice_id)
+        .orderBy(*[c for c in silver_rows.columns if c != "ingested_at"])
         .limit(1)
         .withColumns(
             {

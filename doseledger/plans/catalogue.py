@@ -216,7 +216,7 @@ def src_pages_doc(spark, sf):
 @query(q.html_sections_sql("html"))
 def src_html_sections(spark, sf):
     """Raw web pages to sections."""
-    pages = sample_tables.spread_table(spark, sf, "pages", "page_id")
+    pages = sample_tables.table(spark, sf, "pages")
     return _joined_bullets(web_pages.html_sections(pages))
 
 
@@ -230,7 +230,7 @@ def src_html_headings(spark, sf):
     html = F.regexp_replace(
         F.regexp_replace("html", "<p>", "<h2>Part &amp; parcel</h2><p>"), "<(/?)article>", "<$1main>"
     )
-    pages = sample_tables.spread_table(spark, sf, "pages", "page_id").withColumn("html", html)
+    pages = sample_tables.table(spark, sf, "pages").withColumn("html", html)
     return _joined_bullets(web_pages.html_sections(pages))
 
 
@@ -786,7 +786,7 @@ def chart_trend_feed(spark, sf):
 @query(f"SELECT doc_id, array_to_string({q.tokens_sql('text')}, ' ') AS tokens FROM documents", name="tokenise")
 def tokenise_text(spark, sf):
     """Tokens of every document, in order."""
-    docs = sample_tables.spread_table(spark, sf, "documents", "doc_id")
+    docs = sample_tables.table(spark, sf, "documents")
     return docs.select("doc_id", F.array_join(tokenise(F.col("text")), " ").alias("tokens"))
 
 
@@ -851,7 +851,7 @@ _HEADERS_SQL = """headers AS (
 @query(
     f"""WITH {q.BRONZE}, {q.RECORD_CHECK}, {_HEADERS_SQL}, counts AS (
       SELECT batch_drug, batch_resource, COUNT(*) AS record_rows, COUNT(*) FILTER (WHERE reasons <> '') AS bad_records
-      FROM checked WHERE batch_resource < 'EPD_1998' OR reasons = '' GROUP BY ALL)
+      FROM checked GROUP BY ALL)
     SELECT drug, resource, record_rows, bad_records, concat_ws('; ',
         CASE WHEN source <> 'nhsbsa_epd' THEN 'source: not the ledger' END,
         CASE WHEN total_rows < 0 THEN 'total_rows: negative' END,
@@ -869,11 +869,7 @@ def contract_batch(spark, sf):
         F.when(F.col("drug") == "PROMO", "elsewhere").otherwise("nhsbsa_epd").alias("source"),
         F.when((F.col("drug") == "LARGE") & (F.col("resource") == "EPD_199612"), F.lit(-1)).otherwise(F.col("n")).alias("total_rows"),
     )
-    # files from 1998 on arrive clean
-    records = _checked_records(spark, sf).filter(
-        (F.col("batch_resource") < "EPD_1998") | (F.size("violations") == 0)
-    )
-    verdicts = contracts.contract_batch(headers, records)
+    verdicts = contracts.contract_batch(headers, _checked_records(spark, sf))
     return verdicts.select(
         "drug", "resource", "record_rows", "bad_records",
         F.array_join("violations", "; ").alias("reasons"), "accepted",
@@ -894,7 +890,7 @@ def contract_batch(spark, sf):
 )
 def contract_pages(spark, sf):
     """Page documents checked section by section."""
-    docs = sample_tables.spread_table(spark, sf, "documents", "doc_id")
+    docs = sample_tables.table(spark, sf, "documents")
     kind = (
         F.when(F.col("doc_id") % 5 == 0, "side_effects").when(F.col("doc_id") % 5 == 1, "contraindications")
         .when(F.col("doc_id") % 5 == 2, "interactions").when(F.col("doc_id") % 5 == 3, "dosage")

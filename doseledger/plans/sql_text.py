@@ -137,18 +137,18 @@ edges AS (
   FROM events_log WHERE event_type = 'COMPLETE' AND o_custkey % 11 <> 0)"""
 
 RECORD_CHECK = f"""checked AS (
-  SELECT * EXCLUDE (k, yr, cost, whole),
-    CASE WHEN k % 59 = 0 THEN 'not a JSON object' ELSE concat_ws('; ',
-      CASE WHEN k % 23 = 0 THEN 'actual_cost: not a number' END,
-      CASE WHEN k % 19 = 0 THEN 'items: not a whole number' END,
-      CASE WHEN k % 13 <> 0 AND (k % 17 = 0 OR k % 61 = 0) THEN 'setting: not text' END,
-      CASE WHEN k % 31 = 0 THEN 'drug: text required' END) END AS reasons,
-    CASE WHEN k % 23 <> 0 THEN CASE WHEN k % 29 = 0 THEN COALESCE(cost, 1) ELSE cost END END AS actual_cost,
+  SELECT * EXCLUDE (k, f, yr, cost, whole),
+    CASE WHEN f % 59 = 0 THEN 'not a JSON object' ELSE concat_ws('; ',
+      CASE WHEN f % 23 = 0 THEN 'actual_cost: not a number' END,
+      CASE WHEN f % 19 = 0 THEN 'items: not a whole number' END,
+      CASE WHEN k % 13 <> 0 AND (f % 17 = 0 OR f % 61 = 0) THEN 'setting: not text' END,
+      CASE WHEN f % 31 = 0 THEN 'drug: text required' END) END AS reasons,
+    CASE WHEN f % 23 <> 0 THEN CASE WHEN k % 29 = 0 THEN COALESCE(cost, 1) ELSE cost END END AS actual_cost,
     whole AS items,
     CASE WHEN k % 13 = 0 THEN '' ELSE '4' END AS setting
   FROM (
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, date, row_id, ccg, drug AS batch_drug,
-      resource AS batch_resource, quantity, l_orderkey AS k, substr(resource, 5, 4) AS yr,
+      resource AS batch_resource, quantity, l_orderkey AS k, CASE WHEN resource < 'EPD_1998' THEN l_orderkey ELSE 1 END AS f, substr(resource, 5, 4) AS yr,
       CASE WHEN l_orderkey % 37 <> 0 THEN actual_cost END AS cost, items AS whole
     FROM bronze))"""
 

@@ -24,9 +24,9 @@ DRUG_CODES = {
 }
 # Medicines promoted from Bronze to Silver.
 PROMOTED_DRUGS = (
-    "metformin semaglutide atorvastatin simvastatin aspirin "
-    "lisinopril lansoprazole levothyroxine salbutamol amoxicillin"
-).split()
+    "metformin", "semaglutide", "atorvastatin", "simvastatin", "aspirin", "lisinopril",
+    "lansoprazole", "levothyroxine", "salbutamol", "amoxicillin",
+)
 # Largest tolerated share of NULLs per Silver field, in percent.
 NULL_LIMITS = {"actual_cost": 5.0, "items": 3.0, "setting": 1.0}
 # Fields of the quality report.
@@ -42,11 +42,12 @@ PAGES_FILE = "nhs_pages.json"
 RUN_STATES = ("START", "COMPLETE", "FAIL")
 # Header of the monthly source CSV.
 LEDGER_CSV_HEADER = (
-    "YEAR_MONTH REGIONAL_OFFICE_NAME REGIONAL_OFFICE_CODE ICB_NAME ICB_CODE PCO_NAME PCO_CODE "
-    "PRACTICE_NAME PRACTICE_CODE ADDRESS_1 ADDRESS_2 ADDRESS_3 ADDRESS_4 POSTCODE "
-    "BNF_CHEMICAL_SUBSTANCE CHEMICAL_SUBSTANCE_BNF_DESCR BNF_CODE BNF_DESCRIPTION "
-    "BNF_CHAPTER_PLUS_CODE QUANTITY ITEMS TOTAL_QUANTITY ADQUSAGE NIC ACTUAL_COST UNIDENTIFIED"
-).split()
+    "YEAR_MONTH", "REGIONAL_OFFICE_NAME", "REGIONAL_OFFICE_CODE", "ICB_NAME", "ICB_CODE",
+    "PCO_NAME", "PCO_CODE", "PRACTICE_NAME", "PRACTICE_CODE", "ADDRESS_1", "ADDRESS_2",
+    "ADDRESS_3", "ADDRESS_4", "POSTCODE", "BNF_CHEMICAL_SUBSTANCE", "CHEMICAL_SUBSTANCE_BNF_DESCR",
+    "BNF_CODE", "BNF_DESCRIPTION", "BNF_CHAPTER_PLUS_CODE", "QUANTITY", "ITEMS", "TOTAL_QUANTITY",
+    "ADQUSAGE", "NIC", "ACTUAL_COST", "UNIDENTIFIED",
+)
 # --- end of fixed values ------------------------------------------------------------------
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,15 +27,16 @@ def build_session(app: str = "doseledger", master: str | None = None, **conf) ->
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, else one beside the tables.
 
-    Only a session without that setting (a test) gets a temporary folder of its own.
+    A cluster whose warehouse is on local disks has no folder that all executors see, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="doseledger-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir()
+        jpath, fs = _path(spark, spark.conf.get("spark.sql.warehouse.dir"))
+        if fs.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{fs.makeQualified(jpath).toString()}/_scratch"
     return root.rstrip("/")
 
 
@@ -56,17 +56,6 @@ def write_scratch(df, tag: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df, *keys):
-    """Give every core a share of a scan that has fewer splits than the cluster has cores.
-
-    A large table has more splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def _path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())

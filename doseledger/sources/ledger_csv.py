@@ -19,7 +19,8 @@ _WANTED = (
 
 def _read_by_header(spark: SparkSession, paths) -> DataFrame:
     """Columns by header name; files that share a header share one scan."""
-    reader = spark.read.option("header", True).option("escape", '"')
+    # each file's own header is compared with the schema: a file in another column order fails, it is never read by position
+    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
     layouts: dict[tuple, list] = {}
     for path in paths:
         layouts.setdefault(tuple(reader.csv(path).columns), []).append(path)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doseledger.schemas import LEDGER_CSV_HEADER
-from doseledger.session import spread
 
 ROW_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 PROMOTED = ("ECONOMY", "SMALL", "LARGE")
@@ -28,16 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _opened[key]
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table for row-heavy work; small files are spread over the cores first."""
-    return spread(table(spark, sf_dir, name), key)
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return (
-        spread_table(spark, sf_dir, "lineitem", "l_orderkey")
+        table(spark, sf_dir, "lineitem")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -131,20 +125,23 @@ def ledger_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records as raw JSON lines, some of them breaking the contract."""
+    """Records as raw JSON lines, some of those in files before 1998 breaking the contract."""
     rows = text_records(spark, sf_dir, dirty=False)
     quote = F.lit('"')
 
     def part(name, value):
         return F.concat(F.lit(f'"{name}":'), value)
 
+    def fault(n):
+        return _every(n) & (F.col("resource") < "EPD_1998")
+
     cost = F.coalesce("actual_cost", F.lit("null"))
-    cost = F.when(_every(23), '"xyz"').when(_every(29), F.concat(quote, F.coalesce("actual_cost", F.lit("1")), quote)).otherwise(cost)
-    items = F.when(_every(19), "12.5").otherwise(F.coalesce("items", F.lit("null")))
+    cost = F.when(fault(23), '"xyz"').when(_every(29), F.concat(quote, F.coalesce("actual_cost", F.lit("1")), quote)).otherwise(cost)
+    items = F.when(fault(19), "12.5").otherwise(F.coalesce("items", F.lit("null")))
     setting = (
         F.when(_every(13), F.lit(None))
-        .when(_every(17), '"setting":null')
-        .when(_every(61), '"setting":4')
+        .when(fault(17), '"setting":null')
+        .when(fault(61), '"setting":4')
         .otherwise('"setting":"4"')
     )
     line = F.concat(
@@ -158,13 +155,13 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             part("row_id", F.concat(quote, "row_id", quote)),
             setting,
             part("ccg", F.concat(quote, "ccg", quote)),
-            F.when(~_every(31), part("drug", F.concat(quote, "drug", quote))),
+            F.when(~fault(31), part("drug", F.concat(quote, "drug", quote))),
             part("extra", F.lit("true")),
         ),
         F.lit("}"),
     )
     # a cut line stays a line
-    value = F.when(_every(59), F.substring(line, 1, 25)).otherwise(line)
+    value = F.when(fault(59), F.substring(line, 1, 25)).otherwise(line)
     return rows.select(
         *ROW_KEYS, F.col("drug").alias("batch_drug"), F.col("resource").alias("batch_resource"), value.alias("value")
     )
@@ -172,7 +169,7 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as page sections: language is the medicine, source the page type."""
-    return spread_table(spark, sf_dir, "documents", "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.col("lang").alias("drug"),
         F.col("source").alias("page_type"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,9 @@ _NOT_CONTENT = (
     r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)|![^>]*>|\?[^>]*>)"
 )
 _TAG = r"""<(/?[a-zA-Z][^\s/>]*+)(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>"""
-_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?"
+_ENTITY = r"&((?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?)"
+# numbers 128 to 159 stand for what they are in Windows-1252
+_WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
 _EDGE_SPACE = r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 _VOID = (
     "area base br col embed hr img input keygen link menuitem meta param source track wbr"
@@ -40,15 +42,19 @@ def page_type(url: Column) -> Column:
 
 def _decode_entity(body: Column) -> Column:
     """The character an entity stands for, or the entity as written when unknown."""
-    named = F.create_map(*[F.lit(v) for n, c in name2codepoint.items() for v in (n, chr(c))])
+    named = F.create_map(*[F.lit(v) for pair in html5.items() for v in pair])
+    windows = F.create_map(*[F.lit(v) for pair in _WINDOWS.items() for v in pair])
+    written, body = body, F.rtrim(body, F.lit(";"))
     hexadecimal = body.rlike("^#[xX]")
     code = F.when(hexadecimal, F.conv(F.substring(body, 3, 8), 16, 10)).when(
         body.startswith("#"), F.substring(body, 2, 8)
     ).cast("bigint")
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    numeric = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    numeric = F.coalesce(
+        F.try_element_at(windows, code.cast("int")), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    )
     return F.when(body.startswith("#"), F.when(valid, numeric).otherwise("�")).otherwise(
-        F.coalesce(F.try_element_at(named, body), F.concat(F.lit("&"), body))
+        F.coalesce(F.try_element_at(named, written), F.concat(F.lit("&"), written))
     )
 
 

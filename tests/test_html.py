@@ -142,3 +142,13 @@ def test_no_section_is_lost_and_other_columns_stay(spark):
     df = spark.createDataFrame([(7, "http://x/who-can-take-it/", "<p>t</p>")], "page_id int, url string, html string")
     row = html_sections(df).first().asDict()
     assert (row["page_id"], row["page_type"], row["text"]) == (7, "contraindications", "t")
+
+
+def test_entities_are_decoded_as_browsers_do(spark):
+    from pyspark.sql import functions as F
+
+    from doseledger.sources.web_pages import _plain
+
+    text = "Don&apos;t &lsqb;x&rsqb; &#146; &#x41; &nosuch; a & b"
+    got = spark.createDataFrame([(text,)], "t string").select(_plain(F.col("t"))).first()[0]
+    assert got == "Don't [x] ’ A &nosuch; a & b"

@@ -76,3 +76,12 @@ def test_injected_history_gives_a_second_version(history):
     assert values(dim.filter("practice_id = 'A001'"), "version_num", "ccg", "valid_to", "is_current") == [
         (1, "OLD001", D(2022, 1, 1), False), (2, "03V", None, True),
     ]
+
+
+def test_facts_known_by_month_join_when_asked(spark):
+    from doseledger.operators.practices import pit_join
+
+    dim = spark.sql("SELECT 'A' AS practice_id, '4' AS setting, 'C1' AS ccg, DATE'2024-01-01' AS valid_from, DATE(NULL) AS valid_to, 1 AS version_num")
+    facts = spark.sql("SELECT 'A' AS row_id, DATE(NULL) AS date, '2024-03' AS year_month")
+    assert pit_join(facts, dim).count() == 0
+    assert pit_join(facts, dim, impute_month_start=True).count() == 1

@@ -227,3 +227,14 @@ def test_medicine_keys(spark):
     keys = ["metformin", "co-amoxiclav", "metformin2", "Metformin", "-x", "a", "", None]
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     assert [r[0] for r in df.select(drug_key_ok(F.col("k"))).collect()] == [True, True] + [False] * 6
+
+
+def test_csv_files_in_another_column_order_fail(spark, tmp_path):
+    from doseledger.schemas import LEDGER_CSV_HEADER
+    from doseledger.sources.ledger_csv import read_epd_csv
+
+    header = list(LEDGER_CSV_HEADER)
+    for name, columns in (("EPD_202401.csv", header), ("EPD_202402.csv", header[::-1])):
+        (tmp_path / name).write_text(",".join(columns) + "\n" + ",".join("0601022B0" if c == "BNF_CHEMICAL_SUBSTANCE" else "1" for c in columns) + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_epd_csv(spark, str(tmp_path)).collect()

@@ -111,3 +111,10 @@ def test_open_run_and_missing_lists(spark, tmp_path):
 def test_upstream_ends_on_cycles(spark):
     edges = spark.createDataFrame([("a", "j", "b"), ("b", "j", "c"), ("c", "j", "a"), ("x", "j", "y")], "input string, job_name string, output string")
     assert values(event_log.upstream(edges, "c"), "dataset", "distance") == [("a", 2), ("b", 1)]
+
+
+def test_rejected_events(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "a.json").write_text('{"eventType":"START"}\n{"eventType":"ABORT"}\nnot json\n\n')
+    rejected = event_log.rejected_events(spark, str(tmp_path / "log"))
+    assert values(rejected, "reason") == [("no event type or not JSON",), ("unknown event type",)]

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from doseledger.llm.common import drop_scratch, id_in, ship_package, text_key
 from doseledger.session import write_scratch
 
-SPAN, GRAM = 200, 64
+SPAN, GRAM = 200, 96
 REACH = SPAN - GRAM  # how far before its anchor a string may start
 BLOCK = 1 << 20
 SHARD_ROWS = 4_000  # contexts in a shard, about
@@ -125,34 +125,57 @@ def eight_bytes(text: np.ndarray) -> np.ndarray:
     return key
 
 
-def refine(key: np.ndarray, depth: int = SPAN) -> np.ndarray:
+def _sorted_by(high: np.ndarray, low: np.ndarray | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(turn, where a new value begins) of rows by two numbers of ``bits`` bits each, or by one of ``64 - bits``.
+
+    Short numbers are sorted in one word with their row, which is faster than sorting rows by reference.
+    """
+    one = np.uint64(bits)
+    if low is None:
+        word = high << one
+    elif 3 * bits <= 64:
+        word = (high.astype(np.uint64) << one | low.astype(np.uint64)) << one
+    else:
+        joint = high.astype(np.int64) * (1 << bits) + low
+        turn = np.argsort(joint)
+        joint = joint[turn]
+        return turn, np.concatenate([[True], joint[1:] != joint[:-1]])
+    word |= np.arange(len(high), dtype=np.uint64)
+    word.sort()
+    value = word >> one
+    return (word & np.uint64((1 << bits) - 1)).astype(np.int64), np.concatenate([[True], value[1:] != value[:-1]])
+
+
+def refine(key: np.ndarray, depth: int = SPAN, room: np.ndarray | None = None) -> np.ndarray:
     """All positions in the order of their next ``depth`` bytes, by Larsson-Sadakane refinement.
 
-    The first ranks come from eight bytes; then only groups that are still tied are sorted again, by the rank of the
-    position as far ahead as is known, so that each round doubles the depth.
+    The first ranks come from the first bytes of ``key``; then only groups that are still tied are sorted again, by the rank of the
+    position as far ahead as is known, so that each round doubles the depth. Positions with less ``room`` than a round's depth are
+    not sorted further; no other position asks for their rank.
     """
     n = len(key)
-    order = np.argsort(key).astype(np.int32)
-    ordered = key[order]
-    head = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if n else np.zeros(0, bool)
-    del ordered
-    known, rank = 8, np.empty(n, np.int32)
+    if not n:
+        return np.zeros(0, np.int32)
+    bits = max(1, (n + 1).bit_length())
+    known = (64 - bits) // 8
+    order, head = _sorted_by(key >> np.uint64(64 - 8 * known), None, bits)
+    order, rank = order.astype(np.int32), np.empty(n, np.int32)
     while known < depth:
         starts = np.flatnonzero(head).astype(np.int32)
         sizes = np.diff(np.append(starts, n))
         group = np.repeat(starts, sizes)
         rank[order] = group
-        tied = np.flatnonzero(np.repeat(sizes > 1, sizes))
+        step = min(known, depth - known)
+        tied = np.repeat(sizes > 1, sizes)
+        if room is not None:
+            tied &= room[order] >= known + step
+        tied = np.flatnonzero(tied)
         if not len(tied):
             break
-        step = min(known, depth - known)
         at = order[tied]
         ahead = at + step
-        joint = group[tied].astype(np.int64) * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        turn = np.argsort(joint)
+        turn, fresh = _sorted_by(group[tied], np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0), bits)
         order[tied] = at[turn]
-        joint = joint[turn]
-        fresh = np.concatenate([[True], joint[1:] != joint[:-1]])
         head[tied] = fresh
         known += step
     return order
@@ -216,8 +239,10 @@ def repeated_starts(contexts: list[bytes], places: np.ndarray, firsts: np.ndarra
     key = eight_bytes(np.frombuffer(b"".join(contexts), np.uint8))
     row = np.repeat(np.arange(len(contexts), dtype=np.int32), length)
     offset = np.arange(len(key), dtype=np.int32) - base.astype(np.int32)[row]
-    order = refine(key)
-    order = order[(offset <= length[row] - SPAN)[order]]
+    room = length.astype(np.int32)[row] - offset
+    order = refine(key, SPAN, room)
+    order = order[(room >= SPAN)[order]]
+    del room
     tied = common_prefixes(key, order, base, length) >= SPAN
     # only strings with an equal neighbour are looked at further
     klass = np.cumsum(~tied, dtype=np.int32)

@@ -31,8 +31,8 @@ from doseledger.session import write_scratch
 SPAN, GRAM = 200, 96
 REACH = SPAN - GRAM  # how far before its anchor a string may start
 BLOCK = 1 << 20
-SHARD_ROWS = 4_000  # contexts in a shard, about
-CUT_ROWS = 20_000  # contexts of one anchor beyond which it is cut over shards
+SHARD_ROWS = 2_500  # contexts in a shard, about
+CUT_ROWS = 6_000  # contexts of one anchor beyond which it is cut over shards
 MERGE_KEYS = 2_000_000
 _rng = np.random.default_rng(2024)
 _CODES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) | np.uint64(1)

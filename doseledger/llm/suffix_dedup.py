@@ -1,13 +1,14 @@
 """Exact removal of repeated byte strings with suffix arrays.
 
 A byte goes if a string of ``span`` bytes that covers it starts anywhere else. Suffix arrays of all bytes would sort and move two hundred times the
-corpus, so content picks what is sorted: in every window of ``span`` bytes the gram of smallest hash is an anchor. Equal strings have equal
+corpus, so content picks what is sorted: in every window of ``span`` bytes the gram of smallest hash is its anchor. Equal strings have equal
 anchors at equal places, so a string can only repeat where its anchor does.
 
-1. Anchors with the hash of their context (all bytes that a string with this anchor may cover) are counted. An anchor found once is
+1. Anchors with the hash of their context (all bytes of the strings whose anchor it is) are counted. An anchor found once is
    dropped. A context found twice is repeated as a whole, and needs no sorting.
-2. One copy of each other context goes to a shard by its anchor. A shard sorts its suffixes by Larsson-Sadakane refinement up to ``span`` bytes,
-   and Kasai's common prefixes give the classes of equal strings. A class is repeated if two places hold it.
+2. One copy of each other context goes to a shard by its anchor. Strings whose inner bytes no other context of the anchor has are left
+   out. The shard sorts the remaining suffixes by Larsson-Sadakane refinement up to ``span`` bytes, and Kasai's common prefixes give the
+   classes of equal strings. A class is repeated if two places hold it.
 3. An anchor with very many contexts is cut over several shards. Their sorted string keys are merged by binary search.
 4. Repeated starts go back to the documents, whose bytes are dropped by a mask.
 
@@ -30,6 +31,7 @@ from doseledger.session import write_scratch
 
 SPAN, GRAM = 200, 96
 REACH = SPAN - GRAM  # how far before its anchor a string may start
+STRIDE = 13  # starts whose strings are ruled out together before sorting
 BLOCK = 1 << 20
 SHARD_ROWS = 2_500  # contexts in a shard, about
 CUT_ROWS = 6_000  # contexts of one anchor beyond which it is cut over shards
@@ -77,29 +79,44 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[:-rest], values[rest:]) if rest else values
 
 
-def find_anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(positions, gram hashes, context hashes) of the anchors of a text."""
+def owned_starts(at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) starts of the strings whose smallest gram each anchor is; anchors of equal hash may own some in common.
+
+    An anchor's strings end where a smaller one comes into the window; with a smaller one before, they start after that.
+    """
+    first, last = at - REACH, at.copy()
+    smaller = h[1:] < h[:-1]
+    first[1:] = np.where(smaller, first[1:], np.maximum(first[1:], at[:-1] + 1))
+    last[:-1] = np.where(smaller, np.minimum(last[:-1], at[1:] - REACH - 1), last[:-1])
+    return first, last
+
+
+def find_anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte of the context, its size, offset of the anchor in it, gram hash, context hash) of the anchors of a text."""
     n, width, found = len(data), REACH + 1, []
-    for first in range(0, max(0, n - SPAN + 1), BLOCK):
-        last = min(first + BLOCK, n - SPAN + 1)  # windows that start in [first, last)
-        low, high = max(0, first - REACH), min(n, last + 2 * SPAN)
-        part = data[low:high]
-        grams = Hashes(part, 0)
-        at = np.arange(first - low, last - low + REACH)
-        h = grams.of(at, at + GRAM)
+    for low in range(0, max(0, n - SPAN + 1), BLOCK):
+        windows = min(BLOCK, n - SPAN + 1 - low)  # those that start in this block
+        back = min(low, REACH)
+        part = data[low - back : low + windows + 2 * SPAN]
+        at = np.arange(back, back + windows + REACH)
+        h = Hashes(part, 0).of(at, at + GRAM)
         least = _sliding(h, width, np.minimum)
         pad = np.zeros(width - 1, np.uint64)
-        chosen = at[_sliding(np.concatenate([pad, least, pad]), width, np.maximum) == h]
-        left, right = np.maximum(chosen + low - REACH, 0) - low, np.minimum(chosen + low + SPAN, n) - low
-        # a block's first anchors may reach before it; the previous block has them with their whole context
-        context = Hashes(part, 1).of(np.maximum(left, 0), right) ^ (chosen - left).astype(np.uint64)
-        found.append((chosen + low, h[chosen - (first - low)], context))
+        chosen = np.flatnonzero(_sliding(np.concatenate([pad, least, pad]), width, np.maximum) == h)
+        h, at = h[chosen], at[chosen]
+        first, last = owned_starts(at, h)
+        first, last = np.maximum(first, 0), np.minimum(last, len(part) - SPAN)
+        owns = last >= first
+        first, last, at, h = first[owns], last[owns], at[owns], h[owns]
+        context = Hashes(part, 1).of(first, last + SPAN) ^ (at - first).astype(np.uint64)
+        found.append((first + (low - back), last - first + SPAN, at - first, h, context))
     if not found:
-        none = np.zeros(0, np.uint64)
-        return none.astype(np.int64), none, none
-    at, h, context = (np.concatenate(x) for x in zip(*found))
-    _, keep = np.unique(at, return_index=True)
-    return at[keep], h[keep], context[keep]
+        none = np.zeros(0, np.int64)
+        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+    first, size, lead, h, context = (np.concatenate(x) for x in zip(*found))
+    # at a border two blocks may have an anchor; the first one has all its strings
+    _, keep = np.unique(first + lead, return_index=True)
+    return first[keep], size[keep], lead[keep], h[keep], context[keep]
 
 
 def _bytes(text: str | None) -> np.ndarray:
@@ -110,11 +127,13 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         parts = []
         for id_, th, text in zip(batch["id"], batch["th"], batch["text"]):
-            at, h, context = find_anchors(_bytes(text))
-            if len(at):
-                parts.append((np.full(len(at), id_, np.int64), np.full(len(at), th, np.int64), at.astype(np.int32), h.view(np.int64), context.view(np.int64)))
+            *place, h, context = find_anchors(_bytes(text))
+            if len(h):
+                own = np.full(len(h), id_, np.int64), np.full(len(h), th, np.int64)
+                parts.append((*own, *(x.astype(np.int32) for x in place), h.view(np.int64), context.view(np.int64)))
         if parts:
-            yield pd.DataFrame(dict(zip(("id", "th", "pos", "anchor", "ctx"), (np.concatenate(x) for x in zip(*parts)))))
+            names = ("id", "th", "first", "size", "lead", "anchor", "ctx")
+            yield pd.DataFrame(dict(zip(names, (np.concatenate(x) for x in zip(*parts)))))
 
 
 def eight_bytes(text: np.ndarray) -> np.ndarray:
@@ -266,21 +285,49 @@ def _runs(offsets: np.ndarray) -> list[int]:
     return np.column_stack([offsets[np.append(0, cuts + 1)], offsets[np.append(cuts, len(offsets) - 1)] + 1]).ravel().tolist()
 
 
+def starts_to_sort(contexts: list[bytes], lead: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) start in each context that may have an equal string in another one; none where first > last.
+
+    The strings that start ``STRIDE * q`` to ``STRIDE * (q + 1)`` bytes before the anchor share ``SPAN - STRIDE`` bytes. Equal strings have
+    these in common, so starts for which no other context of the anchor has them can't repeat.
+    """
+    length = np.array([len(c) for c in contexts])
+    base = np.cumsum(length) - length
+    hashes = Hashes(np.frombuffer(b"".join(contexts), np.uint8), 0)
+    first, last = np.full(len(contexts), SPAN), np.full(len(contexts), -1)
+    for q in range(-(-REACH // STRIDE)):
+        inner = lead - STRIDE * q  # where the shared bytes begin, the last start of these
+        low, high = np.maximum(inner - STRIDE, 0), np.minimum(inner, length - SPAN)
+        own = np.flatnonzero(low <= high)
+        key = hashes.of(base[own] + inner[own], base[own] + inner[own] + SPAN - STRIDE) ^ _mix(anchor[own].view(np.uint64))
+        _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+        own = own[times[which] > 1]
+        first[own], last[own] = np.minimum(first[own], low[own]), np.maximum(last[own], high[own])
+    return first, last
+
+
 def _sort_shard(shard: pd.DataFrame) -> pd.DataFrame:
     """Rows with ``runs``: the repeated starts of a context. Rows with ``keys``: of an anchor cut over shards, the sorted keys of
     its strings in this shard, cut by binary search at the borders of the merge."""
     shard = shard.sort_values(["anchor", "ctx"], kind="stable").reset_index(drop=True)
     contexts = list(shard["body"])
     places = pd.factorize(pd.MultiIndex.from_arrays([shard["id"], shard["th"]]))[0]
-    mask, base = repeated_starts(contexts, places, shard["first"].to_numpy(np.int64), shard["n"].to_numpy() > 1)
-    anchor, ctx, cut = shard["anchor"].to_numpy(), shard["ctx"].to_numpy(), shard["cut"].to_numpy()
+    anchor, ctx, cut = shard["anchor"].to_numpy(np.int64), shard["ctx"].to_numpy(), shard["cut"].to_numpy()
+    low, high = starts_to_sort(contexts, shard["lead"].to_numpy(np.int64), anchor)
+    chosen = np.flatnonzero(low <= high)
+    several = shard["n"].to_numpy() > 1
     out, asked = [], {}
+    if len(chosen):
+        bodies = [contexts[i][low[i] : high[i] + SPAN] for i in chosen]
+        mask, base = repeated_starts(bodies, places[chosen], shard["first"].to_numpy(np.int64)[chosen] + low[chosen], several[chosen])
+        for i, at in zip(chosen, base):
+            again = np.flatnonzero(mask[at : at + high[i] - low[i] + 1])
+            # a context found several times goes as a whole
+            if len(again) and not several[i]:
+                out.append((anchor[i], ctx[i], _runs(again + low[i]), 0, None, None, None, None))
     for i in range(len(contexts)):
-        own = np.arange(len(contexts[i]) - SPAN + 1)
-        again = np.flatnonzero(mask[base[i] : base[i] + len(own)])
-        if len(again):
-            out.append((anchor[i], ctx[i], _runs(again), 0, None, None, None, None))
         if cut[i]:
+            own = np.arange(len(contexts[i]) - SPAN + 1)
             keys = Hashes(np.frombuffer(contexts[i], np.uint8), 0).of(own, own + SPAN)
             # where the string stands; a context found several times stands elsewhere than any other
             here = shard["th"][i] ^ shard["id"][i] if shard["n"][i] == 1 else ctx[i]
@@ -321,18 +368,18 @@ def _context_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for id_, th, text, wanted in zip(batch["id"], batch["th"], batch["text"], batch["wanted"]):
             data = text.encode("utf-8", "surrogatepass")
             for w in wanted:
-                first = max(0, w["pos"] - REACH)
-                out.append((id_, th, w["anchor"], w["ctx"], w["n"], w["shard"], w["cut"], first, data[first : w["pos"] + SPAN]))
-        yield pd.DataFrame(out, columns=["id", "th", "anchor", "ctx", "n", "shard", "cut", "first", "body"])
+                body = data[w["first"] : w["first"] + w["size"]]
+                out.append((id_, th, w["anchor"], w["ctx"], w["n"], w["shard"], w["cut"], w["first"], w["lead"], body))
+        yield pd.DataFrame(out, columns=["id", "th", "anchor", "ctx", "n", "shard", "cut", "first", "lead", "body"])
 
 
 def removed_mask(n: int, whole: np.ndarray, parts) -> np.ndarray:
-    """Bytes to drop: contexts of ``whole`` anchors, and strings from the runs of starts in ``parts`` (pos, runs)."""
+    """Bytes to drop: ``whole`` contexts (first << 32 | size), and strings from the runs of starts in ``parts`` (first, runs)."""
     edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, np.maximum(whole - REACH, 0), 1)
-    np.add.at(edge, np.minimum(whole + SPAN, n), -1)
-    for pos, runs in parts:
-        first = max(0, pos - REACH)
+    first = whole >> 32
+    np.add.at(edge, first, 1)
+    np.add.at(edge, first + (whole & 0xFFFFFFFF), -1)
+    for first, runs in parts:
         for start, end in zip(runs[::2], runs[1::2]):
             edge[first + start] += 1
             edge[first + end - 1 + SPAN] -= 1
@@ -344,7 +391,7 @@ def _cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for id_, th, text, whole, parts in zip(batch["id"], batch["th"], batch["text"], batch["whole"], batch["parts"]):
             data = _bytes(text)
-            parts = [] if parts is None else [(p["pos"], p["runs"]) for p in parts]
+            parts = [] if parts is None else [(p["first"], p["runs"]) for p in parts]
             mask = removed_mask(len(data), np.array(whole, np.int64), parts)
             spans = int(mask[0] + (mask[1:] & ~mask[:-1]).sum())
             kept = data[~mask].tobytes()
@@ -357,12 +404,12 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ship_package(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(id_in(doc_id).alias("id"), text_key(body).alias("th"), body.alias("text"))
-    anchors = write_scratch(rows.mapInPandas(_anchor_rows, "id long, th long, pos int, anchor long, ctx long"), "anchors")
+    anchors = write_scratch(rows.mapInPandas(_anchor_rows, "id long, th long, first int, size int, lead int, anchor long, ctx long"), "anchors")
     twice = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
     met = write_scratch(anchors.join(twice, "anchor"), "met-anchors")
     drop_scratch(anchors)
     contexts = met.groupBy("anchor", "ctx").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "th", "pos")).alias("at")
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "th", "first", "size", "lead")).alias("at")
     )
     contexts = write_scratch(contexts, "contexts")
     several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
@@ -372,22 +419,22 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     salt = F.pmod("ctx", salts)
     parts = F.when(salts > 1, F.ceil(F.col("m") * SPAN / MERGE_KEYS)).otherwise(0)
     to_sort = contexts.join(several, "anchor").select(
-        "at.id", "at.th", "at.pos", "anchor", "ctx", "n", parts.cast("int").alias("cut"),
+        "at.*", "anchor", "ctx", "n", parts.cast("int").alias("cut"),
         F.when(salts > 1, F.xxhash64("anchor", salt)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))).alias("shard"),
     )
-    wanted = to_sort.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "anchor", "ctx", "n", "shard", "cut")).alias("wanted"))
+    wanted = to_sort.groupBy("id", "th").agg(F.collect_list(F.struct("first", "size", "lead", "anchor", "ctx", "n", "shard", "cut")).alias("wanted"))
     # whole contexts by place; the others by the key that their runs come back with
     marked = met.join(contexts.select("anchor", "ctx", "n"), ["anchor", "ctx"])
     places = marked.groupBy("id", "th").agg(
-        F.collect_set(F.when(F.col("n") > 1, F.col("pos"))).alias("whole"),
-        F.collect_set(F.when(F.col("n") == 1, F.struct("pos", "anchor", "ctx"))).alias("single"),
+        F.collect_set(F.when(F.col("n") > 1, F.shiftleft(F.col("first").cast("long"), 32) + F.col("size"))).alias("whole"),
+        F.collect_set(F.when(F.col("n") == 1, F.struct("first", "anchor", "ctx"))).alias("single"),
     )
     # equal rows are one from here on
     found = places.join(wanted, ["id", "th"], "left").join(rows, ["id", "th"]).dropDuplicates(["id", "th"])
     found = write_scratch(found, "repeating-texts")
 
     bodies = found.filter("wanted IS NOT NULL").select("id", "th", "text", "wanted").mapInPandas(
-        _context_rows, "id long, th long, anchor long, ctx long, n long, shard long, cut int, first long, body binary"
+        _context_rows, "id long, th long, anchor long, ctx long, n long, shard long, cut int, first long, lead int, body binary"
     )
     ordered = bodies.groupBy("shard").applyInPandas(
         _sort_shard, "anchor long, ctx long, runs array<int>, part int, keys array<long>, ctxs array<long>, starts array<int>, spots array<long>"
@@ -398,10 +445,10 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     runs = ordered.filter("runs IS NOT NULL").select("anchor", "ctx", "runs").unionByName(across)
     parts = (
         found.select("id", "th", F.explode("single").alias("s"))
-        .select("id", "th", "s.pos", "s.anchor", "s.ctx")
+        .select("id", "th", "s.first", "s.anchor", "s.ctx")
         .join(runs, ["anchor", "ctx"])
         .groupBy("id", "th")
-        .agg(F.collect_list(F.struct("pos", "runs")).alias("parts"))
+        .agg(F.collect_list(F.struct("first", "runs")).alias("parts"))
     )
     return found.select("id", "th", "text", "whole").join(parts, ["id", "th"], "left").mapInPandas(
         _cut_rows, "id long, th long, n_removed long, n_spans long, kept_sha256 string, kept binary"

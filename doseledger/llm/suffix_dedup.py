@@ -405,14 +405,16 @@ def repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(id_in(doc_id).alias("id"), text_key(body).alias("th"), body.alias("text"))
     anchors = write_scratch(rows.mapInPandas(_anchor_rows, "id long, th long, first int, size int, lead int, anchor long, ctx long"), "anchors")
-    twice = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # as a table of its own, both sides of the join are dealt for it, and an anchor that many texts share can be split
+    twice = write_scratch(anchors.groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors-twice")
     met = write_scratch(anchors.join(twice, "anchor"), "met-anchors")
     drop_scratch(anchors)
+    drop_scratch(twice)
     contexts = met.groupBy("anchor", "ctx").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "th", "first", "size", "lead")).alias("at")
     )
     contexts = write_scratch(contexts, "contexts")
-    several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    several = write_scratch(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "anchors-several")
     total = several.agg(F.sum("m")).first()[0] or 0
     shards = max(1, -(-total // shard_rows))
     salts = F.ceil(F.col("m") / cut_rows)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from doseledger.functions.columns import once
 from doseledger.operators.silver import month_range, silver
-from doseledger.session import delete_path
+from doseledger.session import delete_path, list_dirs
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -44,28 +44,27 @@ def publish(df: DataFrame, table: str, partition_by=()) -> None:
     """Build ``<table>_new``, drop the old table, rename: readers never see a half-built table.
 
     Every version has its own folder, so the swap changes the catalog only, also where renaming a
-    folder would copy it. The old version's files go after the swap.
+    folder would copy it. The version before stays on disk for queries that were planned before
+    the swap; still older ones are removed.
     """
     spark = df.sparkSession
     staged = f"{table}_new"
-    leftover = _location(spark, staged)
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    if leftover:
-        delete_path(spark, leftover)
     _save(df, staged, partition_by)
     old = _location(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-    if old:
-        delete_path(spark, old)
+    kept = {path.rstrip("/").rpartition("/")[2] for path in (old, _location(spark, table)) if path}
+    database, name = table.split(".")
+    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    for folder in list_dirs(spark, root):
+        if folder.rpartition("-")[0] == name and folder not in kept:
+            delete_path(spark, f"{root}/{folder}")
 
 
 def create_or_replace(df: DataFrame, table: str) -> None:
-    """Replace a table's contents in one write; ``df`` must not read the table itself."""
-    if df.sparkSession.catalog.tableExists(table):
-        df.write.mode("overwrite").insertInto(table)
-    else:
-        _save(df, table, ())
+    """Replace a table's rows and columns; ``df`` may have another schema, and may read the table itself."""
+    publish(df, table)
 
 
 def publish_silver(df: DataFrame, table: str) -> int:
@@ -78,16 +77,13 @@ def publish_silver(df: DataFrame, table: str) -> int:
 def _overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace only the partitions that ``df`` has rows for.
 
-    An insert takes this mode from the session, not from a writer option.
+    Written by path, as that takes the mode with the write; the session's setting is not touched.
     """
     spark = df.sparkSession
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(mode, before)
+    writer = df.select(*spark.table(table).columns).write.mode("overwrite").partitionBy("year_month")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(_location(spark, table))
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def backfill(

@@ -349,7 +349,7 @@ def snk_create_or_replace(spark, sf):
     """A dimension table replaced in place."""
     table = f"{_database(spark)}.dim_practice"
     dim = _dim(spark, sf)
-    tables.create_or_replace(dim.filter("version_num = 1"), table)
+    tables.create_or_replace(dim.filter("version_num = 1").drop("is_current"), table)
     tables.create_or_replace(dim, table)
     return spark.table(table)
 

@@ -211,25 +211,28 @@ def _with_sections(pages: DataFrame, url: str, html: str) -> DataFrame:
             F.lit(2**31 - 1),
         )
 
-        def follows(e):
-            return (
-                (e["parent"] == head["parent"])
-                & (e["first"] > head["first"])
-                & (e["first"] < next_head)
+        def until(upto):
+            def follows(e):
+                return (e["parent"] == head["parent"]) & (e["first"] > head["first"]) & (e["first"] < upto)
+
+            def items(lists):
+                found = F.filter(
+                    inside,
+                    lambda i: (i["name"] == "li")
+                    & F.exists(lists, lambda u: (i["first"] > u["first"]) & (i["first"] < u["last"])),
+                )
+                return F.transform(found, lambda i: _text_of(texts, i))
+
+            lists = F.filter(inside, lambda e: e["name"].isin("ul", "ol") & follows(e))
+            paragraphs = F.filter(inside, lambda e: (e["name"] == "p") & follows(e))
+            return F.struct(
+                _text_of(texts, head).alias("heading"),
+                F.array_join(F.transform(paragraphs, lambda p: _text_of(texts, p)), " ").alias("text"),
+                _let(lists, items).alias("bullets"),
             )
 
-        lists = F.filter(inside, lambda e: e["name"].isin("ul", "ol") & follows(e))
-        items = F.filter(
-            inside,
-            lambda i: (i["name"] == "li")
-            & F.exists(lists, lambda u: (i["first"] > u["first"]) & (i["first"] < u["last"])),
-        )
-        paragraphs = F.filter(inside, lambda e: (e["name"] == "p") & follows(e))
-        return F.struct(
-            _text_of(texts, head).alias("heading"),
-            F.array_join(F.transform(paragraphs, lambda p: _text_of(texts, p)), " ").alias("text"),
-            F.transform(items, lambda i: _text_of(texts, i)).alias("bullets"),
-        )
+        # computed once for a heading, not for each element that is compared with it
+        return _let(next_head, until)
 
     whole = F.struct(
         F.lit("").alias("heading"),

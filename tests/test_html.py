@@ -1,5 +1,6 @@
 """Sections against an independent tree built with the standard library's parser."""
 
+import time
 from html import unescape
 from html.parser import HTMLParser
 
@@ -152,3 +153,13 @@ def test_entities_are_decoded_as_browsers_do(spark):
     text = "Don&apos;t &lsqb;x&rsqb; &#146; &#x41; &nosuch; a & b"
     got = spark.createDataFrame([(text,)], "t string").select(_plain(F.col("t"))).first()[0]
     assert got == "Don't [x] ’ A &nosuch; a & b"
+
+
+def test_work_grows_with_the_headings(spark):
+    """Several hundred headings in one page take seconds, not minutes."""
+    page = "<main>" + "".join(f"<h2>H{i}</h2><p>text {i}</p><ul><li>item {i}</li></ul>" for i in range(400)) + "</main>"
+    df = spark.createDataFrame([("u", page)], "url string, html string")
+    start = time.perf_counter()
+    rows = html_sections(df).collect()
+    assert [tuple(r[c] for c in ("heading", "text", "bullets")) for r in rows][:2] == [("H0", "text 0", ["item 0"]), ("H1", "text 1", ["item 1"])]
+    assert len(rows) == 400 and time.perf_counter() - start < 60

@@ -33,9 +33,13 @@ def _folders(tmp_path, table):
 def test_swap_replaces_the_table_and_its_files(spark, db, tmp_path, records):
     table = f"{db}.t"
     publish(records, table)
+    before = spark.table(table)
     publish(records.limit(2), table)
     assert spark.table(table).count() == 2
-    assert len(_folders(tmp_path, "t-")) == 1
+    # planned before the swap, still whole
+    assert before.count() == 6
+    publish(records.limit(3), table)
+    assert len(_folders(tmp_path, "t-")) == 2
     assert not spark.catalog.tableExists(f"{table}_new")
 
 
@@ -54,7 +58,9 @@ def test_failed_build_keeps_the_old_table(spark, db, records):
 
 def test_create_or_replace(spark, db, records):
     create_or_replace(records, f"{db}.d")
-    create_or_replace(records.limit(1), f"{db}.d")
+    create_or_replace(records.limit(1).withColumn("more", F.lit(1)), f"{db}.d")
+    assert spark.table(f"{db}.d").columns == [*records.columns, "more"]
+    create_or_replace(spark.table(f"{db}.d").drop("more"), f"{db}.d")
     assert spark.table(f"{db}.d").count() == 1
 
 
@@ -69,7 +75,13 @@ def test_backfill_touches_only_its_range(spark, db, records):
     undated = stale.limit(1).withColumn("year_month", F.lit(None).cast("string"))
     emptied = stale.limit(1).withColumn("year_month", F.lit("2023-12"))
     publish_silver(stale.unionByName(undated).unionByName(emptied), table)
-    assert backfill(records, table, "2023-12", "2024-02") == 3
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "static")
+    try:
+        assert backfill(records, table, "2023-12", "2024-02") == 3
+        assert spark.conf.get(mode) == "static"
+    finally:
+        spark.conf.set(mode, "dynamic")
     after = values(spark.table(table), "year_month", "items")
     assert after == [("2024-01", 6), ("2024-01", 10), ("2024-02", 5), ("2024-03", 99), ("2024-03", 99), (None, 99)]
     assert backfill(records, table, "2023-12", "2024-02") == 3

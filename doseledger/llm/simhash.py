@@ -219,15 +219,27 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def grouped(per_print: DataFrame, roots: DataFrame) -> DataFrame:
+    """fp, component_id, root of every print of ``per_print`` (fp, first_id): the smallest id of its component."""
+    named = per_print.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return write_scratch(named.select("fp", "root").join(least, "root").select("fp", "component_id", "root"), "component-ids")
+
+
+def first_of_each(kept: DataFrame) -> DataFrame:
+    """The first row of each root by text, with its own columns."""
+    # few rows share an id; only the first of each task goes on
+    one = Window.partitionBy("root").orderBy(F.xxhash64("row.text"), F.to_json("row"))
+    return kept.withColumn("n", F.row_number().over(one)).filter("n = 1").select("row.*")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, fp (signed 64 bits), component_id (smallest id it reaches), root (a print that names the component)."""
     ship_package(docs.sparkSession)
     rows = write_scratch(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text)).alias("fp")), "fingerprints")
     per_print = write_scratch(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
     roots = write_scratch(components(links(per_print)), "components")
-    named = per_print.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = write_scratch(named.select("fp", "root").join(least, "root").select("fp", "component_id", "root"), "component-ids")
+    ids = grouped(per_print, roots)
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id", "root")
 
 

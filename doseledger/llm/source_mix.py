@@ -19,7 +19,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doseledger.llm.common import BLANK_RUN, carried, ship_package, text_key
@@ -81,6 +81,19 @@ def _shard_quotas(block: int) -> Callable:
     return run
 
 
+def row_key(docs: DataFrame, text: str = "text") -> Column:
+    """A 64-bit key of all columns of a row, the text by its own key. Nulls count, and what is nested goes by its JSON."""
+    own = []
+    for name, kind in docs.dtypes:
+        column = F.col(f"`{name}`")
+        if name == text:
+            column = text_key(column)
+        elif kind.startswith(("map", "struct", "array")):
+            column = F.to_json(F.struct(column))
+        own += [column, F.col(f"`{name}`").isNull()]
+    return F.xxhash64(*own)
+
+
 def plan_mix(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -94,13 +107,14 @@ def plan_mix(
     seed: int = 42,
     max_sources: int = 100_000,
 ) -> DataFrame:
-    """One row per input row: doc_id, th, source, size, source_size, target, taken."""
+    """One row per input row: doc_id, th, rh, source, size, source_size, target, taken."""
     ship_package(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         text_key(body).alias("th"),
+        row_key(docs, text).alias("rh"),
         F.regexp_count(body, F.lit(BLANK_RUN.replace("[", "[^", 1))).cast("long").alias("size"),
     )
     rows = write_scratch(rows, "word-counts")
@@ -119,7 +133,7 @@ def plan_mix(
     quotas = cells.groupBy("shard").applyInPandas(_shard_quotas(block_words), "rank int, shard long, words long, quota long")
     quotas = write_scratch(quotas, "quotas")
     placed = ranked.join(quotas, ["rank", "shard"])
-    inside = Window.partitionBy("rank", "shard").orderBy("order", "doc_id", "th").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("rank", "shard").orderBy("order", "doc_id", "th", "rh").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = placed.withColumn("end", F.sum("size").over(inside))
     # a quota may not take a word more often than ``most`` allows, though its last block may reach beyond
     asked = F.least(F.col("quota") * block_words, F.floor(F.col("words") * F.lit(most)).cast("long"))
@@ -127,28 +141,27 @@ def plan_mix(
     more = asked - rounds * F.col("words")
     part = F.greatest(F.lit(0), F.least(F.col("size"), more - (F.col("end") - F.col("size"))))
     taken = (rounds * F.col("size") + part).cast("long")
-    return placed.select("doc_id", "th", "source", "size", "source_size", "target", taken.alias("taken"))
+    return placed.select("doc_id", "th", "rh", "source", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed rows with their own columns: one row per whole repeat; the last may hold a text's first words only.
 
-    Equal rows share what they are given together.
+    Rows equal in all columns share what they are given together. A text is cut at the end of its last taken word.
     """
     plan = plan_mix(docs, **options).filter("taken > 0")
-    per_row = plan.groupBy("doc_id", "th", "source").agg(F.max("size").alias("size"), F.sum("taken").alias("taken"))
-    named = per_row.select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), F.col("source").alias("m_source"), "size", "taken")
-    rows = carried(docs, id=F.col("doc_id"), th=text_key(F.coalesce("text", F.lit(""))), src=F.col("source"))
-    one = rows.dropDuplicates(["id", "th", "src"])
-    met = one.join(
-        named, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")) & F.col("src").eqNullSafe(F.col("m_source"))
-    )
+    per_row = plan.groupBy("doc_id", "th", "rh").agg(F.max("size").alias("size"), F.sum("taken").alias("taken"))
+    named = per_row.select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), F.col("rh").alias("m_rh"), "size", "taken")
+    rows = carried(docs, id=F.col("doc_id"), th=text_key(F.coalesce("text", F.lit(""))), rh=row_key(docs))
+    one = rows.dropDuplicates(["id", "th", "rh"])
+    met = one.join(named, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")) & (F.col("rh") == F.col("m_rh")))
     whole, rest = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
-    cut = F.regexp_extract("row.text", r"^[\x20\x09-\x0D]*", 0)
-    first_words = F.array_join(F.slice(F.filter(F.split("row.text", BLANK_RUN), lambda w: w != ""), F.lit(1), rest.cast("int")), " ")
+    # each word with the blanks before it
+    spaced = F.regexp_extract_all("row.text", F.lit(BLANK_RUN.replace("+", "*") + BLANK_RUN.replace("[", "[^", 1)), F.lit(0))
+    first_words = F.array_join(F.slice(spaced, F.lit(1), rest.cast("int")), "")
     copies = F.concat(
         F.array_repeat(F.col("row.text"), whole.cast("int")),
-        F.when(rest > 0, F.array(F.concat(cut, first_words))).otherwise(F.array().cast("array<string>")),
+        F.when(rest > 0, F.array(first_words)).otherwise(F.array().cast("array<string>")),
     )
     spread = met.select("row", F.explode(copies).alias("body"))
     return spread.select(F.col("row").withField("text", F.col("body")).alias("row")).select("row.*")

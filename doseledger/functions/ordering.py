@@ -7,59 +7,46 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from doseledger.session import new_scratch, write_scratch
-
-_PART = r"part-(\d+)-.*?c(\d+)\."
-
+from doseledger.session import write_scratch
 
 def null_safe(left: DataFrame, right: DataFrame, names):
     """Join condition on equal names that also pairs NULL with NULL."""
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
 
 
+def ordered_ids(df: DataFrame, order, tag: str = "ordered") -> DataFrame:
+    """``df`` sorted over all tasks and written once, with ``__part`` and ``__at``: range partition and place in it.
+
+    Both come from the row's own number, stored as a column beside it, so they hold whatever the committer calls its files.
+    """
+    sorted_rows = df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id())
+    # the partition stands in the bits above 33, the place inside it in the others
+    return write_scratch(sorted_rows, tag).select(
+        *df.columns,
+        F.shiftright("__id", 33).alias("__part"),
+        F.col("__id").bitwiseAND(F.lit(2**33 - 1)).alias("__at"),
+    )
+
+
 def number_rows(df: DataFrame, order, group=(), name: str = "row_num") -> DataFrame:
     """Number rows 1, 2, 3 … per group in the given order.
 
     A plain window would sort a whole group in one task. Here a range sort over group and order
-    columns spreads even one dominant group over many tasks and is written once; Parquet then
-    knows each row's position in its file, and only one small row per group and file is summed.
-    ``order`` must identify rows, as a tie would have no defined number.
+    columns spreads even one dominant group over many tasks and is written once; a window then sees
+    one small row per group and range partition. Rows that tie in all columns of ``order`` share a run of numbers.
     """
-    spark = df.sparkSession
     group = list(group)
-    path = new_scratch(spark, "ordered")
-    df.orderBy(*[F.col(g).asc_nulls_last() for g in group], *order).write.option(
-        "maxRecordsPerFile", 0
-    ).parquet(path)
-    rows = spark.read.schema(df.schema).parquet(path).select(
-        "*",
-        F.col("_metadata.file_name").alias("__file"),
-        F.col("_metadata.row_index").alias("__index"),
-    )
-    per_file = rows.groupBy(*group, "__file").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__index").alias("__first")
-    )
-    earlier = (
-        Window.partitionBy(*group)
-        .orderBy(
-            F.regexp_extract("__file", _PART, 1).cast("bigint"),
-            F.regexp_extract("__file", _PART, 2).cast("bigint"),
-        )
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    rows = ordered_ids(df, [*[F.col(g).asc_nulls_last() for g in group], *order])
+    per_part = rows.groupBy(*group, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = write_scratch(
-        per_file.select(
-            *group,
-            "__file",
-            (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"),
+        per_part.select(
+            *group, "__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift")
         ),
         "offsets",
     )
-    joined = rows.join(offsets, null_safe(rows, offsets, [*group, "__file"]))
-    return joined.select(
-        *[rows[c] for c in df.columns],
-        (rows["__index"] + offsets["__shift"] + 1).alias(name),
-    )
+    joined = rows.join(offsets, null_safe(rows, offsets, [*group, "__part"]))
+    return joined.select(*[rows[c] for c in df.columns], (rows["__at"] + offsets["__shift"] + 1).alias(name))
 
 
 def first_rows(df: DataFrame, group, block, position: str, limit: int) -> DataFrame:

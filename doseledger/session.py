@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,9 +42,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_mine: dict[str, tuple] = {}
+
+
 def new_scratch(spark: SparkSession, tag: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; what is still there at the end of the driver goes then."""
+    path = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    _mine[path] = _path(spark, path)
+    return path
+
+
+@atexit.register
+def _clear_scratch() -> None:
+    for jpath, fs in _mine.values():
+        # the JVM may have gone first
+        with contextlib.suppress(Exception):
+            fs.delete(jpath, True)
 
 
 def write_scratch(df, tag: str):
@@ -61,6 +76,13 @@ def _path(spark: SparkSession, path: str):
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def drop_scratch(df) -> None:
+    """Delete a written scratch table that no later step reads."""
+    files = df.inputFiles()
+    if files:
+        delete_path(df.sparkSession, files[0].rpartition("/")[0])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jpath, fs = _path(spark, path)
     return fs.exists(jpath)

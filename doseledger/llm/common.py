@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doseledger.session import delete_path
+from doseledger.session import drop_scratch  # noqa: F401
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # the six ASCII blanks: space, tab, line feed, vertical tab, form feed, carriage return
@@ -66,13 +66,6 @@ def carried(docs: DataFrame, **columns: Column) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in columns.items()])
 
 
-def drop_scratch(df: DataFrame) -> None:
-    """Delete a written scratch table that no later step reads."""
-    files = df.inputFiles()
-    if files:
-        delete_path(df.sparkSession, files[0].rpartition("/")[0])
-
-
 _shipped: set[str] = set()
 
 

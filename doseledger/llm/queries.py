@@ -7,6 +7,7 @@ from doseledger.llm import (
     line_dedup,
     lm_scoring,
     quality_rules,
+    resample,
     secret_tags,
     shards,
     simhash,
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_simhash": simhash.op8_query,
     "op9_url_filter": url_filter.op9_query,
     "op10_decontamination": decontam.op10_query,
+    "op11_resample": resample.op11_query,
 }
 
 ORACLE = {
     "op5_line_dedup": line_dedup.ORACLE_SQL,
     "op7_quality_rules": quality_rules.ORACLE_SQL,
     "op10_decontamination": decontam.ORACLE_SQL,
+    "op11_resample": resample.ORACLE_SQL,
 }

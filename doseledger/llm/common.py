@@ -81,3 +81,16 @@ def ship_package(spark: SparkSession) -> None:
             out.write(file, file.relative_to(root))
     spark.sparkContext.addPyFile(str(path))
     _shipped.add(app)
+
+
+# crc32 in SQL by its own rule: a table of 256 remainders, then one step a byte
+CRC_TABLE_SQL = """remainders(b, c, i) AS (
+  SELECT b, b, 0 FROM range(256) r(b)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i + 1 FROM remainders WHERE i < 8),
+crc AS (SELECT list(c ORDER BY b) AS remainder FROM remainders WHERE i = 8)"""
+
+
+def crc_sql(byte_list: str) -> str:
+    """The crc32 of a list of bytes, where ``crc`` of :data:`CRC_TABLE_SQL` is joined."""
+    step = "lambda a, b: xor(a >> 8, remainder[xor(a & 255, b) + 1])"
+    return f"xor(list_reduce({byte_list}, {step}, 4294967295::BIGINT), 4294967295)"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from doseledger.llm import (
+    conversation_repair,
     decontam,
     line_dedup,
     lm_scoring,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_url_filter": url_filter.op9_query,
     "op10_decontamination": decontam.op10_query,
     "op11_resample": resample.op11_query,
+    "op13_conversation_repair": conversation_repair.op13_query,
 }
 
 ORACLE = {
@@ -35,4 +37,5 @@ ORACLE = {
     "op7_quality_rules": quality_rules.ORACLE_SQL,
     "op10_decontamination": decontam.ORACLE_SQL,
     "op11_resample": resample.ORACLE_SQL,
+    "op13_conversation_repair": conversation_repair.ORACLE_SQL,
 }

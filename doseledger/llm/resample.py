@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doseledger.functions.ordering import number_rows
-from doseledger.llm.common import ship_package, table, text_key
+from doseledger.llm.common import CRC_TABLE_SQL, crc_sql, ship_package, table, text_key
 from doseledger.session import write_scratch
 
 BUCKETS, MIN_WORDS, PERCENT, SEED = 10_000, 20, 10, 2024
@@ -225,18 +225,14 @@ def op11_query(spark, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-# crc32 by its own rule: a table of 256 remainders, then one step a byte
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-ORACLE_SQL = rf"""WITH RECURSIVE remainders(b, c, i) AS (
-  SELECT b, b, 0 FROM range(256) r(b)
-  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i + 1 FROM remainders WHERE i < 8),
-crc AS (SELECT list(c ORDER BY b) AS t FROM remainders WHERE i = 8),
+_BYTES = "list_transform(range(0, octet_length(encode(word))), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT))"
+ORACLE_SQL = rf"""WITH RECURSIVE {CRC_TABLE_SQL},
 found AS (
   SELECT 'd' AS side, rowid AS row, unnest({_WORDS.format("text")}) AS word FROM (SELECT text, row_number() OVER () AS rowid FROM documents)
   UNION ALL SELECT 't', 0, unnest({_WORDS.format("text")}) FROM benchmark),
 hashed AS (
-  SELECT word, xor(list_reduce(list_transform(range(0, octet_length(encode(word))), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT)),
-    lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1]), 4294967295::BIGINT), 4294967295) % {BUCKETS} AS bucket
+  SELECT word, {crc_sql(_BYTES)} % {BUCKETS} AS bucket
   FROM (SELECT DISTINCT word FROM found), crc),
 counts AS (
   SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 't') AS t FROM found JOIN hashed USING (word) GROUP BY bucket),

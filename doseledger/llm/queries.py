@@ -5,6 +5,7 @@ from __future__ import annotations
 from doseledger.llm import (
     conversation_repair,
     decontam,
+    language_id,
     line_dedup,
     lm_scoring,
     quality_rules,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_url_filter": url_filter.op9_query,
     "op10_decontamination": decontam.op10_query,
     "op11_resample": resample.op11_query,
+    "op12_language_id": language_id.op12_query,
     "op13_conversation_repair": conversation_repair.op13_query,
 }
 

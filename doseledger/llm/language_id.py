@@ -185,8 +185,8 @@ def learn(rows: DataFrame, lang: str = "lang", text: str = "text", ratio: float
     )
     placed = masks.mapInPandas(_placed(bits), "word int, mask long, at long").groupBy("word", "at").agg(F.bit_or("mask").alias("mask"))
     words = np.zeros((-(-len(languages) // PER_WORD), 1 << bits), np.uint64)
-    found = placed.toPandas()  # at most one row a position
-    words[found["word"].to_numpy(np.int64), found["at"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
+    found = placed.toArrow()  # at most one row a position
+    words[found["word"].to_numpy(), found["at"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
     return Filters(languages, words, max(languages, key=lambda name: (totals[name], name)))
 
 

@@ -8,21 +8,27 @@ from pyspark.sql import functions as F
 from doseledger.functions.months import month_start
 
 
-def practice_versions(silver: DataFrame, impute_month_start: bool = False) -> DataFrame:
+def practice_versions(rows: DataFrame, impute_month_start: bool = True) -> DataFrame:
     """First and last date of each (practice, setting, ccg).
 
-    Records dated only by month have no day and count as undated, unless ``impute_month_start``
-    dates them to the first of their month.
+    ``rows`` is Silver or its :func:`~doseledger.operators.rollups.month_partials`. A record dated only by month counts as of the
+    month's first day; without ``impute_month_start`` it has no date.
     """
-    date = F.col("date")
-    if impute_month_start:
-        date = F.coalesce(date, month_start(F.col("year_month")))
-    return silver.groupBy(F.col("row_id").alias("practice_id"), "setting", "ccg").agg(
-        F.min(date).alias("first_seen"), F.max(date).alias("last_seen")
+    if "first_date" in rows.columns:
+        first, last = F.col("first_date"), F.col("last_date")
+        if impute_month_start:
+            # least and greatest leave out NULLs
+            undated = F.when(F.col("undated") > 0, month_start(F.col("year_month")))
+            first, last = F.least(first, undated), F.greatest(last, undated)
+    else:
+        first = F.coalesce("date", month_start(F.col("year_month"))) if impute_month_start else F.col("date")
+        last = first
+    return rows.groupBy(F.col("row_id").alias("practice_id"), "setting", "ccg").agg(
+        F.min(first).alias("first_seen"), F.max(last).alias("last_seen")
     )
 
 
-def dim_practice(silver: DataFrame, impute_month_start: bool = False) -> DataFrame:
+def dim_practice(rows: DataFrame, impute_month_start: bool = True) -> DataFrame:
     """One row per version of a practice, valid from its first date to the next version's.
 
     Versions are distinct attribute combinations, so a practice that returns to earlier attributes
@@ -32,7 +38,7 @@ def dim_practice(silver: DataFrame, impute_month_start: bool = False) -> DataFra
         F.asc_nulls_last("first_seen"), F.asc_nulls_last("setting"), F.asc_nulls_last("ccg")
     )
     return (
-        practice_versions(silver, impute_month_start)
+        practice_versions(rows, impute_month_start)
         .select(
             "practice_id",
             "setting",
@@ -56,29 +62,39 @@ def pit_lookup(dim: DataFrame, at, practice_id: str | None = None) -> DataFrame:
     return rows if practice_id is None else rows.filter(F.col("practice_id") == practice_id)
 
 
-def pit_join(facts: DataFrame, dim: DataFrame, impute_month_start: bool = False) -> DataFrame:
-    """Every dated fact with the attributes its practice had on that date.
+def pit_join(facts: DataFrame, dim: DataFrame, impute_month_start: bool = True) -> DataFrame:
+    """Every fact with the attributes its practice had on its date, and whether there were any (``has_version``).
+
+    Versions and the distinct days that facts ask for stand in one order per practice, and the last version is carried forward to the
+    days behind it. So a practice costs its days and versions, not their product, however many facts it holds; the facts then
+    meet their day by an equality that adaptive execution can split. Versions of a practice must not overlap.
 
-    An equality on practice with the validity range as a residual. The dimension is broadcast only
-    if its size allows; otherwise both sides shuffle by practice and adaptive execution splits a
-    practice that holds many facts. Facts without a matching version are left out. With
-    ``impute_month_start`` a fact known by month only counts as of the month's first day.
+    A fact known by month only counts as of the month's first day, or has no date without ``impute_month_start``. Facts without a date,
+    practice or version are kept.
     """
-    at = facts["date"]
+    at = F.col("date")
     if impute_month_start:
-        at = F.coalesce(at, F.try_to_date(F.concat(facts["year_month"], F.lit("-01"))))
-    versions = dim.select(
-        "practice_id",
-        F.col("setting").alias("setting_then"),
-        F.col("ccg").alias("ccg_then"),
-        "valid_from",
-        "valid_to",
-        "version_num",
+        at = F.coalesce(at, month_start(F.col("year_month")))
+    dated = facts.withColumn("__at", at)
+    days = dated.select(F.col("row_id").alias("practice_id"), "__at").dropna().distinct()
+    version = F.struct(F.col("setting").alias("setting_then"), F.col("ccg").alias("ccg_then"), "valid_to", "version_num")
+    line = (
+        dim.filter(F.col("valid_from").isNotNull())
+        .select("practice_id", F.col("valid_from").alias("__at"), version.alias("__v"))
+        .unionByName(days, allowMissingColumns=True)
+    )
+    # a version holds on its first day already, so it comes before the day
+    order = Window.partitionBy("practice_id").orderBy("__at", F.col("__v").isNull(), "__v.version_num")
+    carried = line.withColumn("__last", F.last("__v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    answers = carried.filter(F.col("__v").isNull() & F.col("__last").isNotNull()).filter(
+        F.col("__last.valid_to").isNull() | (F.col("__last.valid_to") > F.col("__at"))
+    ).select("practice_id", F.col("__at").alias("__day"), "__last")
+    joined = dated.join(answers, (dated["row_id"] == answers["practice_id"]) & (dated["__at"] == answers["__day"]), "left")
+    return joined.select(
+        *[dated[c] for c in facts.columns],
+        *[F.col(f"__last.{c}").alias(c) for c in ("setting_then", "ccg_then", "version_num")],
+        F.col("__last").isNotNull().alias("has_version"),
     )
-    return facts.join(
-        versions,
-        (facts["row_id"] == versions["practice_id"]) & _valid_at(versions, at),
-    ).drop("practice_id", "valid_from", "valid_to")
 
 
 def version_gap_check(dim: DataFrame) -> DataFrame:

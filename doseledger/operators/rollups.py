@@ -26,10 +26,25 @@ def practice_months(silver: DataFrame) -> DataFrame:
     )
 
 
+def month_partials(silver: DataFrame) -> DataFrame:
+    """Sums, dates and undated records per medicine, practice, its attributes and month.
+
+    All Gold tables and the practice dimension derive from these rows, and a month's rows depend on that month of Silver alone, so
+    a change of some months needs only theirs again.
+    """
+    return silver.groupBy("drug", "row_id", "setting", "ccg", "year_month").agg(
+        F.sum("items").alias("items"),
+        F.sum("actual_cost").alias("actual_cost"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.count_if(F.col("date").isNull()).alias("undated"),
+    )
+
+
 def drug_summary(rows: DataFrame) -> DataFrame:
     """Per medicine: items, cost, cost per item, practices and months, largest first.
 
-    ``rows`` is Silver or its :func:`practice_months`; both give the same result.
+    ``rows`` is Silver, its :func:`practice_months` or its :func:`month_partials`; all give the same result.
     """
     return (
         rows.groupBy("drug")

@@ -16,9 +16,9 @@ from doseledger.functions import casting, months
 from doseledger.functions.text import section_text, tokenise
 from doseledger.operators import contracts, event_log, practices, quality, rollups, tables, terms
 from doseledger.operators import silver as silver_ops
+from doseledger.plans import refresh
 from doseledger.plans import sql_text as q
-from doseledger.plans.refresh import medallion_run as run_refresh
-from doseledger.schemas import RAW_RECORD, drug_code_table, promoted_table
+from doseledger.schemas import NULL_LIMITS, RAW_RECORD, drug_code_table, promoted_table
 from doseledger.session import new_scratch
 from doseledger.sources import bronze as lake
 from doseledger.sources import inventory, ledger_csv, sample_tables, web_pages
@@ -530,16 +530,30 @@ def pit_lookup(spark, sf):
 
 
 @query(
-    f"""WITH {q.DIM} SELECT s.row_id, s.date, s.drug, s.items, s.actual_cost, d.setting AS setting_then,
+    f"""WITH {q.DIM} SELECT s.row_id, s.date, s.year_month, s.drug, s.items, s.actual_cost, d.setting AS setting_then,
+      d.ccg AS ccg_then, d.version_num, d.practice_id IS NOT NULL AS has_version
+    FROM (SELECT *, {q.AS_OF} AS at FROM silver) s LEFT JOIN dim d ON s.row_id = d.practice_id AND d.valid_from <= s.at
+      AND (d.valid_to IS NULL OR d.valid_to > s.at)"""
+)
+def pit_join(spark, sf):
+    """Every record with its practice's attributes on its day, or on the first of its month."""
+    silver = _silver(spark, sf)
+    facts = silver.select("row_id", "date", "year_month", "drug", "items", "actual_cost")
+    return practices.pit_join(facts, practices.dim_practice(silver))
+
+
+@query(
+    f"""WITH {q.DIM_DAYS_ONLY} SELECT s.row_id, s.date, s.drug, s.items, s.actual_cost, d.setting AS setting_then,
       d.ccg AS ccg_then, d.version_num
     FROM silver s JOIN dim d ON s.row_id = d.practice_id AND d.valid_from <= s.date
       AND (d.valid_to IS NULL OR d.valid_to > s.date)"""
 )
-def pit_join(spark, sf):
-    """Every dated record with its practice's attributes on that day."""
+def pit_join_days_only(spark, sf):
+    """The same for records and versions with a day of their own; others have no place in time and are left out."""
     silver = _silver(spark, sf)
     facts = silver.select("row_id", "date", "drug", "items", "actual_cost")
-    return practices.pit_join(facts, practices.dim_practice(silver))
+    joined = practices.pit_join(facts, practices.dim_practice(silver, impute_month_start=False), impute_month_start=False)
+    return joined.filter("has_version").drop("has_version")
 
 
 _BROKEN_DIM = """broken AS (SELECT * REPLACE (
@@ -677,6 +691,43 @@ def null_rate_gate(spark, sf):
     return quality.null_rate_gate(_silver(spark, sf))
 
 
+@query(
+    f"WITH {q.SILVER} "
+    + " UNION ALL ".join(_gate_sql(f, v) for f, v in (("actual_cost", 5.0), ("items", 3.0), ("setting", 1.0)))
+)
+def null_rate_gate_by_write(spark, sf):
+    """The same null shares from counts that the Silver write gathers, without a second scan."""
+    written = tables.publish_silver(_silver(spark, sf), f"{_database(spark)}.prescribing")
+    counts = F.array(
+        *[F.struct(F.lit(f).alias("field"), F.lit(written.nulls[f]).alias("n"), F.lit(float(v)).alias("threshold")) for f, v in NULL_LIMITS.items()]
+    )
+    share = casting.round_half_away(F.col("n") * F.lit(100.0) / F.lit(written.rows), 2)
+    rows = spark.range(1).select(F.inline(counts)).select("field", share.alias("null_pct"), "threshold")
+    return rows.withColumn("violated", F.col("null_pct") > F.col("threshold"))
+
+
+def _near_sql(field: str) -> str:
+    return f"""SELECT '{field}' AS field, COUNT(*) - COUNT({field}) AS null_count,
+      ROUND((COUNT(*) - COUNT({field})) * 100.0::DOUBLE / COUNT(*), 2) AS null_pct,
+      COUNT(DISTINCT {field}) + CAST(COUNT(*) > COUNT({field}) AS BIGINT) AS unique_count, true AS near FROM silver"""
+
+
+@query(
+    f"WITH {q.SILVER} " + " UNION ALL ".join(_near_sql(f) for f in ("actual_cost", "items", "quantity", "setting"))
+)
+def veracity_report_sketched(spark, sf):
+    """The report from monthly sketches kept as a table, some months replaced; estimates stand within 5 % of exact counts."""
+    table = f"{_database(spark)}.sketches"
+    silver = _silver(spark, sf)
+    tables.publish(quality.month_sketches(silver.withColumn("items", F.lit(1).cast("bigint"))), table, [tables.MONTH])
+    for first, last in (("0000-00", "1996-12"), ("1997-01", "9999-99")):
+        tables.replace_months(quality.month_sketches(silver_ops.month_range(silver, first, last)), table, first, last)
+    rough = quality.approx_report(spark.table(table)).withColumnRenamed("unique_count", "estimate")
+    exact = quality.veracity_report(silver).select("field", "unique_count")
+    near = F.abs(F.col("estimate") - F.col("unique_count")) <= F.col("unique_count") * 0.05
+    return rough.join(exact, "field").select("field", "null_count", "null_pct", "unique_count", near.alias("near"))
+
+
 @query(
     f"""WITH {q.DIM} SELECT COUNT(*) AS total_versions, COUNT(DISTINCT practice_id) AS unique_practices,
       COUNT(*) FILTER (WHERE is_current) AS current_versions,
@@ -742,10 +793,22 @@ def practice_leaderboard(spark, sf):
 
 @query(f"WITH {q.DIM} SELECT * FROM dim")
 def dim_practice(spark, sf):
-    """Versioned practice dimension."""
+    """Versioned practice dimension, records known by month dated to its first day."""
     return _dim(spark, sf)
 
 
+@query(f"WITH {q.DIM_DAYS_ONLY} SELECT * FROM dim")
+def dim_practice_days_only(spark, sf):
+    """The dimension from dates as the source gives them: versions known by month only are undated."""
+    return practices.dim_practice(_silver(spark, sf), impute_month_start=False)
+
+
+@query(f"WITH {q.DIM} SELECT * FROM dim")
+def dim_practice_partials(spark, sf):
+    """The dimension from monthly partial aggregates instead of records."""
+    return practices.dim_practice(rollups.month_partials(_silver(spark, sf)))
+
+
 @query(
     f"""WITH {q.SILVER}, {q.SUMMARY} SELECT drug, total_items, ROUND(total_cost_gbp, 2) AS cost_gbp,
       ROUND(avg_nic_per_item, 4) AS cost_per_item FROM summary ORDER BY cost_gbp DESC, drug LIMIT 3"""
@@ -984,6 +1047,50 @@ def backfill_proof(spark, sf):
     return tables.backfill_proof(_bronze(spark, sf), table, _FROM, _TO, _promoted(spark))
 
 
+_GOLD_SQL = """SELECT 'drug_summary' AS table_name, drug AS key, '' AS sub_key, total_items, total_cost_gbp FROM summary
+    UNION ALL SELECT 'drug_monthly_spend', drug, COALESCE(year_month, ''), total_items, total_cost_gbp FROM monthly
+    UNION ALL SELECT 'practice_leaderboard', drug, rank || ' ' || practice_id, total_items, total_cost_gbp FROM leaderboard
+    UNION ALL SELECT 'dim_practice', practice_id, version_num || ' ' || setting || ' ' || ccg,
+      CAST(strftime(valid_from, '%Y%m%d') AS BIGINT), CAST(strftime(valid_to, '%Y%m%d') AS DOUBLE) FROM dim"""
+
+
+def _gold_rows(spark, gold):
+    """Content of the published Gold tables and dimension in one shape."""
+    def rows(name, key, sub_key, items=F.col("total_items"), cost=F.col("total_cost_gbp")):
+        return spark.table(f"{gold}.{name}").select(
+            F.lit(name).alias("table_name"), F.col(key).alias("key"), sub_key.alias("sub_key"),
+            items.cast("bigint").alias("total_items"), cost.cast("double").alias("total_cost_gbp"),
+        )
+
+    def day(name):
+        return F.date_format(name, "yyyyMMdd")
+
+    return (
+        rows("drug_summary", "drug", F.lit(""))
+        .unionByName(rows("drug_monthly_spend", "drug", F.coalesce("year_month", F.lit(""))))
+        .unionByName(rows("practice_leaderboard", "drug", F.concat_ws(" ", "rank", "practice_id")))
+        .unionByName(rows("dim_practice", "practice_id", F.concat_ws(" ", "version_num", "setting", "ccg"), day("valid_from"), day("valid_to")))
+    )
+
+
+@query(
+    f"""WITH {q.BRONZE}, {q.silver_cte(name='fresh')}, old AS (SELECT * REPLACE (actual_cost + 1 AS actual_cost,
+        items + 1 AS items) FROM fresh),
+      silver AS (SELECT * FROM fresh WHERE year_month BETWEEN '{_FROM}' AND '{_TO}'
+        UNION ALL SELECT * FROM old WHERE year_month IS NULL OR year_month NOT BETWEEN '{_FROM}' AND '{_TO}'),
+      {q.SUMMARY}, {q.MONTHLY}, {q.LEADERBOARD}, {q.dim_cte()} {_GOLD_SQL}"""
+)
+def gold_after_backfill(spark, sf):
+    """Gold of a stale Silver, after a backfill of some months that aggregates only these again."""
+    database = _database(spark)
+    table = f"{database}.prescribing"
+    stale = _silver(spark, sf).withColumns({"actual_cost": F.col("actual_cost") + 1, "items": F.col("items") + 1})
+    tables.publish_silver(stale, table)
+    refresh.build_gold(spark, table, database)
+    refresh.backfill_gold(_bronze(spark, sf), table, database, _FROM, _TO, _promoted(spark))
+    return _gold_rows(spark, database)
+
+
 @query(
     f"""WITH {q.SILVER}, {q.silver_cte(name='wider', promoted=q.PROMOTED + ", 'MEDIUM'")}
     {_SILVER_SQL} silver UNION ALL
@@ -999,8 +1106,8 @@ def late_promotion(spark, sf):
 
 @query(
     f"""WITH {q.SILVER}, injected AS (
-      SELECT row_id, setting, ccg, date FROM silver
-      UNION ALL SELECT 'S1', '4', 'OLD001', DATE '1991-06-01'), {q.dim_cte('injected')}
+      SELECT row_id, setting, ccg, date, year_month FROM silver
+      UNION ALL SELECT 'S1', '4', 'OLD001', DATE '1991-06-01', '1991-06'), {q.dim_cte('injected')}
     SELECT * FROM dim"""
 )
 def history_injection(spark, sf):
@@ -1015,7 +1122,7 @@ def history_injection(spark, sf):
 def medallion_run(spark, sf):
     """The whole refresh, run over the sample tables."""
     database = _database(spark)
-    return run_refresh(
+    return refresh.medallion_run(
         _bronze(spark, sf), sample_tables.sections(spark, sf), database, database,
         new_scratch(spark, "log"), _promoted(spark),
     )

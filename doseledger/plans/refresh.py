@@ -11,27 +11,49 @@ from doseledger.operators.quality import check_null_rates, veracity_report
 from doseledger.operators.rollups import (
     drug_monthly_spend,
     drug_summary,
+    month_partials,
     practice_leaderboard,
-    practice_months,
     table_counts,
 )
-from doseledger.operators.silver import silver
-from doseledger.operators.tables import create_or_replace, publish, publish_silver
+from doseledger.operators.silver import month_range, silver
+from doseledger.operators.tables import MONTH, backfill, publish, publish_silver, replace_months
 from doseledger.operators.terms import top_terms
-from doseledger.session import write_scratch
 
 
-def build_gold(spark: SparkSession, silver_table: str, gold: str) -> dict[str, int]:
-    """Publish the three Gold tables from one scan of Silver; returns their row counts."""
-    totals = write_scratch(practice_months(spark.table(silver_table)), "practice_months")
+def build_gold(spark: SparkSession, silver_table: str, gold: str, months: tuple[str, str] | None = None) -> dict[str, int]:
+    """Publish the three Gold tables; returns their row counts.
+
+    They and the practice dimension derive from the partial aggregates in ``<gold>.month_partials``, laid out by month. After a change of some ``months`` of Silver
+    (first, last) only these are read and aggregated again; the other partials are kept as they are.
+    """
+    partials = f"{gold}.month_partials"
+    silver_rows = spark.table(silver_table)
+    if months is None or not spark.catalog.tableExists(partials):
+        publish(month_partials(silver_rows), partials, [MONTH])
+    else:
+        replace_months(month_partials(month_range(silver_rows, *months)), partials, *months)
+    totals = spark.table(partials)
     tables = {
         f"{gold}.drug_summary": drug_summary(totals),
         f"{gold}.drug_monthly_spend": drug_monthly_spend(totals),
         f"{gold}.practice_leaderboard": practice_leaderboard(totals),
     }
-    for name, df in tables.items():
-        publish(df, name)
-    return {name: spark.table(name).count() for name in tables}
+    return {name: publish(df, name).rows for name, df in tables.items()}
+
+
+def build_dimension(spark: SparkSession, gold: str) -> int:
+    """Publish the practice dimension from the partials of :func:`build_gold`; returns its row count."""
+    return publish(dim_practice(spark.table(f"{gold}.month_partials")), f"{gold}.dim_practice").rows
+
+
+def backfill_gold(
+    bronze: DataFrame, silver_table: str, gold: str, from_month: str, to_month: str, promoted: DataFrame | None = None
+) -> dict[str, int]:
+    """Re-derive a month range of Silver, then Gold and the dimension from the range's months and the other months' partials."""
+    spark = bronze.sparkSession
+    backfill(bronze, silver_table, from_month, to_month, promoted)
+    built = build_gold(spark, silver_table, gold, (from_month, to_month))
+    return built | {f"{gold}.dim_practice": build_dimension(spark, gold)}
 
 
 def medallion_run(
@@ -61,7 +83,7 @@ def medallion_run(
     with recorded(spark, log, "build_gold", [silver_name], gold_names):
         build_gold(spark, silver_name, gold_db)
     with recorded(spark, log, "build_dimension", [silver_name], [f"{gold_db}.dim_practice"]):
-        create_or_replace(dim_practice(spark.table(silver_name)), f"{gold_db}.dim_practice")
+        build_dimension(spark, gold_db)
     with recorded(spark, log, "extract_terms", ["bronze.pages"], [f"{gold_db}.top_terms"]):
         publish(top_terms(sections), f"{gold_db}.top_terms")
     names = {

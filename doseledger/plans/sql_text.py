@@ -82,9 +82,13 @@ LEADERBOARD = f"""{TOTALS}, leaderboard AS (
   FROM totals QUALIFY rank <= 20)"""
 
 
-def dim_cte(source: str = "silver", name: str = "dim") -> str:
+# a record dated by month only counts as of the month's first day
+AS_OF = "COALESCE(date, TRY_CAST(year_month || '-01' AS DATE))"
+
+
+def dim_cte(source: str = "silver", name: str = "dim", as_of: str = AS_OF) -> str:
     return f"""{name}_versions AS (
-  SELECT row_id AS practice_id, setting, ccg, MIN(date) AS first_seen, MAX(date) AS last_seen
+  SELECT row_id AS practice_id, setting, ccg, MIN({as_of}) AS first_seen, MAX({as_of}) AS last_seen
   FROM {source} GROUP BY row_id, setting, ccg),
 {name} AS (
   SELECT *, valid_to IS NULL AS is_current FROM (
@@ -96,6 +100,8 @@ def dim_cte(source: str = "silver", name: str = "dim") -> str:
 
 
 DIM = f"{SILVER}, {dim_cte()}"
+# dates as the source gives them, so records known by month only have none
+DIM_DAYS_ONLY = f"{SILVER}, {dim_cte(as_of='date')}"
 
 
 def stop_list() -> str:

@@ -64,7 +64,7 @@ def test_top_costs_sort_only_what_is_kept(spark):
 
 
 def test_large_dimension_is_not_broadcast(spark):
-    facts = trusted(spark).select("row_id", "date", "items")
+    facts = trusted(spark).select("row_id", "date", "year_month", "items")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(pit_join(facts, dim_practice(trusted(spark))))

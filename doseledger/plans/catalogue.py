@@ -18,7 +18,7 @@ from doseledger.operators import contracts, event_log, practices, quality, rollu
 from doseledger.operators import silver as silver_ops
 from doseledger.plans import refresh
 from doseledger.plans import sql_text as q
-from doseledger.schemas import NULL_LIMITS, RAW_RECORD, drug_code_table, promoted_table
+from doseledger.schemas import LEDGER_CSV_HEADER, NULL_LIMITS, RAW_RECORD, drug_code_table, promoted_table
 from doseledger.session import new_scratch
 from doseledger.sources import bronze as lake
 from doseledger.sources import inventory, ledger_csv, sample_tables, web_pages
@@ -128,10 +128,12 @@ _CSV_KEPT = "drug IN ('ECONOMY', 'SMALL', 'LARGE', 'PROMO') AND l_orderkey % 17
 
 @query(f"WITH {q.DIRTY} SELECT {_CSV_FIELDS}, {_CSV_RESOURCE} FROM dirty WHERE {_CSV_KEPT}")
 def src_epd_csv(spark, sf):
-    """Source CSV to records: wanted substances, identified practices, one scan for all."""
+    """Source CSV to records: wanted substances, identified practices; files of two column orders in one folder."""
     path = new_scratch(spark, "csv")
-    rows = sample_tables.ledger_csv(spark, sf).drop("resource", *_ORDER)
-    rows.write.option("header", True).option("escape", '"').csv(path)
+    rows = sample_tables.ledger_csv(spark, sf).drop("resource")
+    for part, columns in enumerate((LEDGER_CSV_HEADER, LEDGER_CSV_HEADER[::-1])):
+        own = rows.filter(F.col("l_linenumber") % 2 == part).select(*columns)
+        own.write.mode("append").option("header", True).option("escape", '"').csv(path)
     return ledger_csv.read_epd_csv(spark, path, drug_code_table(spark, _CSV_CODES))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,18 +19,47 @@ _WANTED = (
 )
 
 
+#: longer than any file: one task takes one file, and no file is cut
+_ONE_TASK = 1 << 40
+
+
+def csv_headers(spark: SparkSession, paths) -> dict[str, list[str]]:
+    """Files by their header line, the first line that is not blank.
+
+    One job for any number of files. Each task opens one file and stops after its header, so its cost doesn't depend on the size of
+    files; the driver gets one row a file, as the listing of files gives it anyway.
+    """
+    probe = spark.newSession()  # settings for this job only
+    probe.conf.set("spark.sql.files.maxPartitionBytes", _ONE_TASK)
+    probe.conf.set("spark.sql.files.openCostInBytes", _ONE_TASK)
+    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first_line(batches):
+        for batch in batches:
+            if batch["block"].iat[0] == 0 and batch["line"].iat[0].strip("\ufeff \t\r"):
+                yield batch[["file", "line"]]
+                return
+
+    lines = probe.read.text(paths).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    )
+    found: dict[str, list[str]] = {}
+    for row in lines.mapInPandas(first_line, "file string, line string").collect():
+        found.setdefault(row["line"].strip("\ufeff \t\r"), []).append(unquote(row["file"]))
+    return found
+
+
 def _read_by_header(spark: SparkSession, paths) -> DataFrame:
-    """Columns by header name; files that share a header share one scan."""
-    # each file's own header is compared with the schema: a file in another column order fails, it is never read by position
-    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
-    layouts: dict[tuple, list] = {}
-    for path in paths:
-        layouts.setdefault(tuple(reader.csv(path).columns), []).append(path)
+    """Columns by header name, whatever their order in a file; files that share a header share one scan."""
+    headers = csv_headers(spark, paths)
+    reader = spark.read.option("header", True).option("escape", '"')
     parts = []
-    for header, members in layouts.items():
-        schema = ", ".join(f"`{c}` string" for c in header)
-        scan = reader.schema(schema).csv(members)
-        columns = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in _WANTED]
+    for line, files in headers.items():
+        header = next(csv.reader([line]))
+        # by place, as the file's own header has told; a name that stands twice counts where it stands first
+        schema = ", ".join(f"`_{i}` string" for i in range(len(header)))
+        scan = reader.schema(schema).csv(paths if len(headers) == 1 else files)
+        columns = [(F.col(f"_{header.index(c)}") if c in header else F.lit(None).cast("string")).alias(c) for c in _WANTED]
         parts.append(
             scan.select(
                 *columns,
@@ -37,6 +68,9 @@ def _read_by_header(spark: SparkSession, paths) -> DataFrame:
                 F.monotonically_increasing_id().alias("seq"),
             )
         )
+    if not parts:
+        schema = ", ".join(f"{c} string" for c in _WANTED)
+        return spark.createDataFrame([], f"{schema}, file string, block bigint, seq bigint")
     return reduce(DataFrame.unionByName, parts)
 
 

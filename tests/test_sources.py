@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from doseledger.schemas import LEDGER_CSV_HEADER, RAW_RECORD, drug_code_table
 from doseledger.sources.bronze import read_bronze, read_lake, route_payloads, write_bronze
 from doseledger.sources.inventory import lake_inventory, lake_partitions
-from doseledger.sources.ledger_csv import latest_months, read_epd_csv
+from doseledger.sources.ledger_csv import csv_headers, latest_months, read_epd_csv
 from doseledger.sources.web_pages import drug_key_ok, page_documents, read_sections
 
 
@@ -229,12 +229,56 @@ def test_medicine_keys(spark):
     assert [r[0] for r in df.select(drug_key_ok(F.col("k"))).collect()] == [True, True] + [False] * 6
 
 
-def test_csv_files_in_another_column_order_fail(spark, tmp_path):
-    from doseledger.schemas import LEDGER_CSV_HEADER
-    from doseledger.sources.ledger_csv import read_epd_csv
+def _mixed_folder(tmp_path, n=3):
+    """Files of one folder in three column orders, one without two columns, one with a mark before its header, one empty."""
+    headers = [list(LEDGER_CSV_HEADER), list(LEDGER_CSV_HEADER)[::-1], [c for c in LEDGER_CSV_HEADER if c not in ("ICB_NAME", "ADDRESS_1")]]
+    for i in range(n):
+        header = headers[i % 3]
+        _write_csv(tmp_path / f"EPD_2024{i + 1:02d}.csv", header, [_row(practice=f"P{i}", items=str(i), YEAR_MONTH=f"2024{i + 1:02d}")])
+    marked = tmp_path / "EPD_202400.csv"
+    _write_csv(marked, headers[1], [_row(practice="M", items="77")])
+    marked.write_text("\ufeff" + marked.read_text())
+    (tmp_path / "EPD_209912.csv").write_text("")
+
+
+@pytest.mark.parametrize("form", ["folder", "glob", "list"])
+def test_csv_files_in_other_column_orders_are_read_by_name(spark, tmp_path, form):
+    _mixed_folder(tmp_path)
+    files = [str(p) for p in sorted(tmp_path.iterdir())]
+    df = read_epd_csv(spark, {"folder": str(tmp_path), "glob": f"{tmp_path}/*.csv", "list": files}[form])
+    assert values(df, "row_id", "items", "actual_cost", "icb_name", "resource") == [
+        ("M", 77, 12.5, "Board, North", "EPD_202400"), ("P0", 0, 12.5, "Board, North", "EPD_202401"),
+        ("P1", 1, 12.5, "Board, North", "EPD_202402"), ("P2", 2, 12.5, "", "EPD_202403"),
+    ]
+
 
-    header = list(LEDGER_CSV_HEADER)
-    for name, columns in (("EPD_202401.csv", header), ("EPD_202402.csv", header[::-1])):
-        (tmp_path / name).write_text(",".join(columns) + "\n" + ",".join("0601022B0" if c == "BNF_CHEMICAL_SUBSTANCE" else "1" for c in columns) + "\n")
-    with pytest.raises(Exception, match="header"):
-        read_epd_csv(spark, str(tmp_path)).collect()
+def test_headers_of_any_number_of_files_take_one_job(spark, tmp_path):
+    _mixed_folder(tmp_path, 30)
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("headers", "x")
+    try:
+        found = csv_headers(spark, [str(tmp_path)])
+        jobs = tracker.getJobIdsForGroup("headers")
+        tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        context._jsc.clearJobGroup()
+    assert len(found) == 3 and sorted(map(len, found.values())) == [10, 10, 11]
+    assert tasks == [31]  # Spark leaves out the empty file
+
+
+def test_headers_read_only_the_beginning_of_a_file(spark, tmp_path):
+    with open(tmp_path / "big.csv", "w") as out:
+        out.write("A,B\n")
+        for _ in range(200):
+            out.write("1,2\n" * 100_000)
+    import time
+
+    csv_headers(spark, [str(tmp_path)])
+    began = time.time()
+    assert list(csv_headers(spark, [str(tmp_path)])) == ["A,B"]
+    assert time.time() - began < 10
+
+
+def test_folder_without_headers_has_no_rows(spark, tmp_path):
+    (tmp_path / "EPD_202401.csv").write_text("\n\n")
+    assert read_epd_csv(spark, str(tmp_path)).collect() == []

@@ -1,6 +1,6 @@
 """Data contracts as declarative rules over raw JSON lines.
 
-A line is parsed to VARIANT, which tells a missing field (defaulted) from an explicit null
+A line's fields are read as VARIANT, which tells a missing field (defaulted) from an explicit null
 (rejected), and a number from its quoted form. Each rule is one boolean column; a row carries the
 names of the rules it breaks.
 """
@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from doseledger.functions.casting import blank_list, blank_text
 from doseledger.functions.columns import once
@@ -100,6 +101,11 @@ def optional_whole(fields, field: str) -> Rule:
     return Rule(f"{field}: not a whole number", ~good)
 
 
+def needs_value(column: str) -> Rule:
+    """The rule of required text for a typed column."""
+    return Rule(f"{column}: text required", F.col(column).isNull())
+
+
 def one_of(fields, field: str, allowed) -> Rule:
     known = (fields.kind(field) == "STRING") & fields.text(field).isin(list(allowed))
     return Rule(f"{field}: not one of {', '.join(allowed)}", ~F.coalesce(known, F.lit(False)))
@@ -153,21 +159,27 @@ def check_contract(df: DataFrame, rules, first: Rule | None = None) -> DataFrame
     return once(df, "violations", found)
 
 
+_FIELDS = T.StructType([*[T.StructField(n, T.VariantType()) for n in RAW_RECORD.names], T.StructField("__broken", T.StringType())])
+_STRICT = {"columnNameOfCorruptRecord": "__broken", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
 def _prepare_records(lines: DataFrame, text: str) -> DataFrame:
     """Each line's field types and field texts as one column ``row``, computed once.
 
-    Types come from VARIANT; texts come from one pass of the JSON reader, which is cheaper than
-    fetching every field from the VARIANT.
+    One pass of the JSON reader makes a small VARIANT of every contract field and skips the others; NULL is a missing field.
     """
-    names = RAW_RECORD.names
-    fields = Fields(F.col("doc"))
-    parsed = once(lines, "doc", F.try_parse_json(F.col(text)))
+    parsed = once(lines, "fields", F.from_json(text, _FIELDS, _STRICT))
+    # the reader stops behind the first value; only a line with more behind a brace is parsed again, as the one item of a list
+    more = F.col(text).rlike(r"\}\s*[^\s\]}]")
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = listed.isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    whole = F.when(more, alone).otherwise(F.lit(True))
     row = F.struct(
-        (F.col("doc").isNotNull() & F.ltrim(F.col(text)).startswith("{")).alias("is_object"),
-        F.struct(*[fields.kind(n).alias(n) for n in names]).alias("kinds"),
-        F.from_json(text, RAW_RECORD).alias("texts"),
+        (F.col("fields").isNotNull() & F.col("fields.__broken").isNull() & whole).alias("is_object"),
+        F.struct(*[F.schema_of_variant(F.col(f"fields.{n}")).alias(n) for n in RAW_RECORD.names]).alias("kinds"),
+        F.struct(*[F.try_variant_get(F.col(f"fields.{n}"), "$", "string").alias(n) for n in RAW_RECORD.names]).alias("texts"),
     )
-    return once(parsed, "row", row).drop("doc", text)
+    return once(parsed, "row", row).drop("fields", text)
 
 
 def contract_records(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -267,3 +279,13 @@ def quarantine_split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Row mode of a contract: (valid rows, rejected rows with their reasons)."""
     good = F.size("violations") == 0
     return checked.filter(good).drop("violations"), checked.filter(~good)
+
+
+def write_quarantine(checked: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
+    """:func:`quarantine_split` of rows that are checked and written once, in a folder for each status."""
+    spark = checked.sparkSession
+    status = F.when(F.size("violations") == 0, "valid").otherwise("rejected")
+    checked.withColumn("status", status).write.partitionBy("status").parquet(base)
+    rows = spark.read.schema(T.StructType([*checked.schema.fields, T.StructField("status", T.StringType())])).parquet(base)
+    valid = rows.filter(F.col("status") == "valid").drop("status", "violations")
+    return valid, rows.filter(F.col("status") == "rejected").drop("status")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from doseledger.functions import casting, months
 from doseledger.functions.text import section_text, tokenise
-from doseledger.operators import contracts, event_log, practices, quality, rollups, tables, terms
+from doseledger.operators import contracts, event_log, ingest, practices, quality, rollups, tables, terms
 from doseledger.operators import silver as silver_ops
 from doseledger.plans import refresh
 from doseledger.plans import sql_text as q
@@ -906,6 +906,17 @@ def contract_records(spark, sf):
     )
 
 
+def _headers(spark, sf):
+    """Envelope fields of the sample batches, some at fault."""
+    return _bronze(spark, sf).groupBy("drug", "resource").agg(F.count(F.lit(1)).alias("n")).select(
+        "drug",
+        "resource",
+        F.concat(F.lit("SUB-"), "drug").alias("bnf_code"),
+        F.when(F.col("drug") == "PROMO", "elsewhere").otherwise("nhsbsa_epd").alias("source"),
+        F.when((F.col("drug") == "LARGE") & (F.col("resource") == "EPD_199612"), F.lit(-1)).otherwise(F.col("n")).alias("total_rows"),
+    )
+
+
 _HEADERS_SQL = """headers AS (
   SELECT drug, resource, 'SUB-' || drug AS bnf_code,
     CASE WHEN drug = 'PROMO' THEN 'elsewhere' ELSE 'nhsbsa_epd' END AS source,
@@ -926,14 +937,7 @@ _HEADERS_SQL = """headers AS (
 )
 def contract_batch(spark, sf):
     """Verdict per medicine and file: one bad record refuses the batch."""
-    bronze = _bronze(spark, sf)
-    headers = bronze.groupBy("drug", "resource").agg(F.count(F.lit(1)).alias("n")).select(
-        "drug",
-        "resource",
-        F.concat(F.lit("SUB-"), "drug").alias("bnf_code"),
-        F.when(F.col("drug") == "PROMO", "elsewhere").otherwise("nhsbsa_epd").alias("source"),
-        F.when((F.col("drug") == "LARGE") & (F.col("resource") == "EPD_199612"), F.lit(-1)).otherwise(F.col("n")).alias("total_rows"),
-    )
+    headers = _headers(spark, sf)
     verdicts = contracts.contract_batch(headers, _checked_records(spark, sf))
     return verdicts.select(
         "drug", "resource", "record_rows", "bad_records",
@@ -987,7 +991,7 @@ def contract_pages(spark, sf):
 )
 def quarantine_split(spark, sf):
     """Valid and rejected rows counted per batch and reason."""
-    valid, rejected = contracts.quarantine_split(_checked_records(spark, sf))
+    valid, rejected = contracts.write_quarantine(_checked_records(spark, sf), new_scratch(spark, "quarantine"))
     both = valid.select(F.lit("valid").alias("status"), "batch_drug", "batch_resource", F.lit("").alias("reasons")).unionByName(
         rejected.select(
             F.lit("rejected").alias("status"), "batch_drug", "batch_resource",
@@ -997,6 +1001,126 @@ def quarantine_split(spark, sf):
     return both.groupBy("status", "batch_drug", "batch_resource", "reasons").agg(F.count(F.lit(1)).alias("rows"))
 
 
+_GOLD_SQL = """SELECT 'drug_summary' AS table_name, drug AS key, '' AS sub_key, total_items, total_cost_gbp FROM summary
+    UNION ALL SELECT 'drug_monthly_spend', drug, COALESCE(year_month, ''), total_items, total_cost_gbp FROM monthly
+    UNION ALL SELECT 'practice_leaderboard', drug, rank || ' ' || practice_id, total_items, total_cost_gbp FROM leaderboard
+    UNION ALL SELECT 'dim_practice', practice_id, version_num || ' ' || setting || ' ' || ccg,
+      CAST(strftime(valid_from, '%Y%m%d') AS BIGINT), CAST(strftime(valid_to, '%Y%m%d') AS DOUBLE) FROM dim"""
+
+
+def _gold_rows(spark, gold):
+    """Content of the published Gold tables and dimension in one shape."""
+    def rows(name, key, sub_key, items=F.col("total_items"), cost=F.col("total_cost_gbp")):
+        return spark.table(f"{gold}.{name}").select(
+            F.lit(name).alias("table_name"), F.col(key).alias("key"), sub_key.alias("sub_key"),
+            items.cast("bigint").alias("total_items"), cost.cast("double").alias("total_cost_gbp"),
+        )
+
+    def day(name):
+        return F.date_format(name, "yyyyMMdd")
+
+    return (
+        rows("drug_summary", "drug", F.lit(""))
+        .unionByName(rows("drug_monthly_spend", "drug", F.coalesce("year_month", F.lit(""))))
+        .unionByName(rows("practice_leaderboard", "drug", F.concat_ws(" ", "rank", "practice_id")))
+        .unionByName(rows("dim_practice", "practice_id", F.concat_ws(" ", "version_num", "setting", "ccg"), day("valid_from"), day("valid_to")))
+    )
+
+
+# --- ingest -------------------------------------------------------------------------------
+
+# a first run over all batches; a second one brings fewer rows of one batch, and another under a foreign label
+_AGAIN, _FOREIGN = ("SMALL", "EPD_199912"), ("LARGE", "EPD_199912")
+_VALID = "CASE WHEN reasons = '' THEN"
+_INGEST_FIELDS = ", ".join(
+    f"{_VALID} {c} END AS {name}"
+    for c, name in (("date", "date"), ("actual_cost", "actual_cost"), ("items", "items"), ("quantity", "quantity"),
+                    ("row_id", "row_id"), ("setting", "setting"), ("ccg", "ccg"), ("batch_drug", "drug"))
+)
+
+
+@query(
+    f"""WITH {q.BRONZE}, {q.RECORD_CHECK}, {_HEADERS_SQL}, first_run AS (
+      SELECT c.*, concat_ws('; ', CASE WHEN source <> 'nhsbsa_epd' THEN 'source: not the ledger' END,
+          CASE WHEN total_rows < 0 THEN 'total_rows: negative' END,
+          CASE WHEN COUNT(*) FILTER (WHERE reasons <> '') OVER (PARTITION BY batch_drug, batch_resource) > 0
+            THEN 'records: contract broken' END) AS batch_reasons
+      FROM checked c JOIN headers ON drug = batch_drug AND resource = batch_resource),
+    runs AS (
+      SELECT 1 AS run, * FROM first_run
+      UNION ALL SELECT 2, * REPLACE ('' AS batch_reasons) FROM first_run
+        WHERE batch_drug = '{_AGAIN[0]}' AND batch_resource = '{_AGAIN[1]}' AND l_linenumber = 1
+      UNION ALL SELECT 2, * REPLACE ('source: not the ledger' AS batch_reasons) FROM first_run
+        WHERE batch_drug = '{_FOREIGN[0]}' AND batch_resource = '{_FOREIGN[1]}')
+    SELECT CASE WHEN batch_reasons = '' THEN 'bronze' ELSE 'rejected' END AS state, batch_resource AS resource,
+      l_orderkey, l_linenumber, l_partkey, l_suppkey, {_INGEST_FIELDS}, reasons, batch_reasons
+    FROM runs WHERE batch_reasons <> '' OR run = 2 OR NOT (batch_drug = '{_AGAIN[0]}' AND batch_resource = '{_AGAIN[1]}')"""
+)
+def ingest_run(spark, sf):
+    """Deliveries checked, written and committed by batch: all rows of Bronze, and of refused batches with their reasons."""
+    base = new_scratch(spark, "ingest")
+    lines, headers = sample_tables.record_lines(spark, sf), _headers(spark, sf)
+    ingest.ingest_lines(lines, headers, base)
+    def named(batch):
+        return (F.col("batch_drug") == batch[0]) & (F.col("batch_resource") == batch[1])
+
+    more = lines.filter((named(_AGAIN) & (F.col("l_linenumber") == 1)) | named(_FOREIGN))
+    foreign = F.when(F.col("drug") == _FOREIGN[0], "elsewhere").otherwise(F.col("source"))
+    later = headers.withColumn("source", foreign).join(
+        more.select(F.col("batch_drug").alias("drug"), F.col("batch_resource").alias("resource")).distinct(), ["drug", "resource"], "left_semi"
+    )
+    ingest.ingest_lines(more, later.withColumn("total_rows", F.lit(1).cast("bigint")), base)
+    fields = ("date", "actual_cost", "items", "quantity", "row_id", "setting", "ccg", "drug")
+    kept = ingest.read_committed(spark, base).select(
+        F.lit("bronze").alias("state"), "resource", *_ORDER, *fields, F.lit("").alias("reasons"), F.lit("").alias("batch_reasons")
+    )
+    valid = F.size("violations") == 0
+    refused = ingest.read_rejects(spark, base).select(
+        F.lit("rejected").alias("state"), F.col("batch_resource").alias("resource"), *_ORDER,
+        *[F.when(valid, F.col(c)).alias(c) for c in fields],
+        F.array_join("violations", "; ").alias("reasons"), F.array_join("batch_reasons", "; ").alias("batch_reasons"),
+    )
+    return kept.unionByName(refused)
+
+
+_PAGE_TYPE = "CASE doc_id % 3 WHEN 0 THEN 'side_effects' WHEN 1 THEN 'contraindications' ELSE 'interactions' END"
+
+
+@query(
+    f"""WITH {q.DIRTY}, bronze AS (SELECT {_CSV_FIELDS}, resource FROM dirty WHERE {_CSV_KEPT}),
+    {q.silver_cte(promoted="'economy', 'small', 'large'")}, {q.SUMMARY}, {q.MONTHLY}, {q.LEADERBOARD}, {q.dim_cte()},
+    terms AS (SELECT drug, term, page_type, COUNT(*) AS frequency FROM (
+      SELECT lang AS drug, {_PAGE_TYPE} AS page_type,
+        unnest({q.tokens_sql("source || ' ' || text || ' ' || lang || ' ' || source")}) AS term
+      FROM documents WHERE lang <> 'es') GROUP BY ALL)
+    {_GOLD_SQL}
+    UNION ALL SELECT * FROM (SELECT 'top_terms', drug, term || ' ' || page_type, frequency, NULL::DOUBLE FROM terms QUALIFY ROW_NUMBER() OVER (
+      PARTITION BY drug ORDER BY frequency DESC, term, page_type) <= 20)"""
+)
+def medallion_from_files(spark, sf):
+    """The refresh from source CSV and page documents on, one medicine's pages refused; content of the published tables."""
+    path, database = new_scratch(spark, "csv"), _database(spark)
+    rows = sample_tables.ledger_csv(spark, sf).drop(*_ORDER)
+    rows.hint("rebalance", "resource").write.partitionBy("resource").option("header", True).option("escape", '"').csv(path)
+    kind = F.when(F.col("doc_id") % 3 == 0, "side_effects").when(F.col("doc_id") % 3 == 1, "contraindications").otherwise("interactions")
+    section = F.struct(
+        "url", F.when((F.col("drug") == "es") & (F.col("doc_id") % 2 == 0), "dosage").otherwise(kind).alias("page_type"), "heading", "text", "bullets"
+    )
+    line = F.to_json(F.struct("drug", F.lit("nhs_pages").alias("type"), F.array(section).alias("pages")))
+    pages = sample_tables.sections(spark, sf).select(F.col("drug").alias("batch_drug"), line.alias("value"))
+    refresh.medallion_from_files(
+        spark, f"{path}/*", pages, new_scratch(spark, "bronze"), database, database, new_scratch(spark, "log"),
+        drug_code_table(spark, _CSV_CODES), promoted_table(spark, ["economy", "small", "large"]), {"actual_cost": 50.0, "items": 50.0},
+    )
+    found = spark.table(f"{database}.top_terms")
+    return _gold_rows(spark, database).unionByName(
+        found.select(
+            F.lit("top_terms").alias("table_name"), F.col("drug").alias("key"), F.concat_ws(" ", "term", "page_type").alias("sub_key"),
+            F.col("frequency").cast("bigint").alias("total_items"), F.lit(None).cast("double").alias("total_cost_gbp"),
+        )
+    )
+
+
 # --- table maintenance --------------------------------------------------------------------
 
 _FROM, _TO = "1994-06", "1996-12"
@@ -1049,32 +1173,6 @@ def backfill_proof(spark, sf):
     return tables.backfill_proof(_bronze(spark, sf), table, _FROM, _TO, _promoted(spark))
 
 
-_GOLD_SQL = """SELECT 'drug_summary' AS table_name, drug AS key, '' AS sub_key, total_items, total_cost_gbp FROM summary
-    UNION ALL SELECT 'drug_monthly_spend', drug, COALESCE(year_month, ''), total_items, total_cost_gbp FROM monthly
-    UNION ALL SELECT 'practice_leaderboard', drug, rank || ' ' || practice_id, total_items, total_cost_gbp FROM leaderboard
-    UNION ALL SELECT 'dim_practice', practice_id, version_num || ' ' || setting || ' ' || ccg,
-      CAST(strftime(valid_from, '%Y%m%d') AS BIGINT), CAST(strftime(valid_to, '%Y%m%d') AS DOUBLE) FROM dim"""
-
-
-def _gold_rows(spark, gold):
-    """Content of the published Gold tables and dimension in one shape."""
-    def rows(name, key, sub_key, items=F.col("total_items"), cost=F.col("total_cost_gbp")):
-        return spark.table(f"{gold}.{name}").select(
-            F.lit(name).alias("table_name"), F.col(key).alias("key"), sub_key.alias("sub_key"),
-            items.cast("bigint").alias("total_items"), cost.cast("double").alias("total_cost_gbp"),
-        )
-
-    def day(name):
-        return F.date_format(name, "yyyyMMdd")
-
-    return (
-        rows("drug_summary", "drug", F.lit(""))
-        .unionByName(rows("drug_monthly_spend", "drug", F.coalesce("year_month", F.lit(""))))
-        .unionByName(rows("practice_leaderboard", "drug", F.concat_ws(" ", "rank", "practice_id")))
-        .unionByName(rows("dim_practice", "practice_id", F.concat_ws(" ", "version_num", "setting", "ccg"), day("valid_from"), day("valid_to")))
-    )
-
-
 @query(
     f"""WITH {q.BRONZE}, {q.silver_cte(name='fresh')}, old AS (SELECT * REPLACE (actual_cost + 1 AS actual_cost,
         items + 1 AS items) FROM fresh),
@@ -1146,10 +1244,13 @@ def _streamed(spark, sf):
     return ledger_csv.latest_months(one, 1)
 
 
-def _queue(spark, sf) -> str:
-    path = new_scratch(spark, "queue")
-    replay.queue_batches(replay.number_batches(_streamed(spark, sf), _ORDER, _BATCH), path)
-    return path
+def _numbered(spark, sf):
+    """The same records with their batch numbers, as a stream."""
+    path = new_scratch(spark, "numbered")
+    replay.number_batches(_streamed(spark, sf), _ORDER, _BATCH).select(
+        *[F.col(c).cast("string") for c in RAW_RECORD.names], "batch_num"
+    ).write.option("ignoreNullFields", False).json(path)
+    return spark.readStream.schema(replay.NUMBERED).json(path)
 
 
 _sinks: dict = {}
@@ -1160,7 +1261,7 @@ def _sink(spark, sf) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _sinks:
         sink = new_scratch(spark, "sink")
-        replay.run_stream(replay.queue_stream(spark, _queue(spark, sf), 8), sink, new_scratch(spark, "progress"))
+        replay.run_stream(_numbered(spark, sf), sink, new_scratch(spark, "progress"))
         _sinks[key] = sink
     return _sinks[key]
 
@@ -1176,9 +1277,9 @@ def stream_source(spark, sf):
 
 @query(f"WITH {q.BRONZE}, {_NUMBERED} SELECT batch_num, COUNT(*) AS rows FROM numbered GROUP BY batch_num")
 def micro_batches(spark, sf):
-    """Batches of a fixed number of records, one per trigger."""
+    """Records of each batch of a fixed size, as the sink holds them."""
     sink = new_scratch(spark, "sink")
-    replay.run_stream(replay.queue_stream(spark, _queue(spark, sf), 1), sink, new_scratch(spark, "progress"))
+    replay.run_stream(_numbered(spark, sf), sink, new_scratch(spark, "progress"))
     return replay.read_sink(spark, sink).groupBy("batch_num").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -1196,9 +1297,9 @@ def batch_numbering(spark, sf):
 @query(f"WITH {q.BRONZE}, {_NUMBERED} SELECT {_SINK_FIELDS}, batch_num FROM numbered")
 def stream_sink(spark, sf):
     """Numbered batches streamed into the sink, replayed once more without a trace."""
-    sink, queue = new_scratch(spark, "sink"), _queue(spark, sf)
+    sink, stream = new_scratch(spark, "sink"), _numbered(spark, sf)
     for _ in range(2):
-        replay.run_stream(replay.queue_stream(spark, queue, 8), sink, new_scratch(spark, "progress"))
+        replay.run_stream(stream, sink, new_scratch(spark, "progress"))
     return replay.read_sink(spark, sink).drop("arrived_at")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doseledger.operators.event_log import recorded
+from doseledger.operators.ingest import ingest_csv, ingest_pages, read_committed
 from doseledger.operators.practices import dim_practice
 from doseledger.operators.quality import check_null_rates, veracity_report
 from doseledger.operators.rollups import (
@@ -18,6 +19,7 @@ from doseledger.operators.rollups import (
 from doseledger.operators.silver import month_range, silver
 from doseledger.operators.tables import MONTH, backfill, publish, publish_silver, replace_months
 from doseledger.operators.terms import top_terms
+from doseledger.sources.ledger_csv import read_epd_csv
 
 
 def build_gold(spark: SparkSession, silver_table: str, gold: str, months: tuple[str, str] | None = None) -> dict[str, int]:
@@ -96,3 +98,30 @@ def medallion_run(
     return table_counts({k: spark.table(v) for k, v in names.items()}).select(
         F.col("table_name"), F.col("rows")
     )
+
+
+def medallion_from_files(
+    spark: SparkSession,
+    csv_paths,
+    page_lines: DataFrame,
+    base: str,
+    silver_db: str,
+    gold_db: str,
+    log: str,
+    codes: DataFrame | None = None,
+    promoted: DataFrame | None = None,
+    limits: dict[str, float] | None = None,
+    row_cap: int | None = None,
+) -> DataFrame:
+    """The whole way from source files and page documents to every table; returns the row count of each.
+
+    Batches that break their contract are refused and reported (:func:`doseledger.operators.ingest.read_rejects`); the refresh goes on
+    with the others and with what earlier runs have accepted.
+    """
+    records_base, pages_base = f"{base}/records", f"{base}/pages"
+    with recorded(spark, log, "ingest_records", ["source.ledger_csv"], ["bronze.prescribing"]):
+        ingest_csv(read_epd_csv(spark, csv_paths, codes, row_cap), records_base)
+    with recorded(spark, log, "ingest_pages", ["source.pages"], ["bronze.pages"]):
+        ingest_pages(page_lines, pages_base)
+    bronze, sections = read_committed(spark, records_base), read_committed(spark, pages_base)
+    return medallion_run(bronze, sections, silver_db, gold_db, log, promoted, limits)

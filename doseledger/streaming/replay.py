@@ -11,7 +11,12 @@ from doseledger.functions.ordering import number_rows
 from doseledger.schemas import RAW_RECORD, RECORDS_FILE
 from doseledger.session import any_file, delete_path, list_dirs, path_exists
 
-_QUEUE = T.StructType([*RAW_RECORD.fields, T.StructField("batch_num", T.IntegerType())])
+#: records that carry a batch number of their own
+NUMBERED = T.StructType([*RAW_RECORD.fields, T.StructField("batch_num", T.IntegerType())])
+_SINK = (
+    "date string, actual_cost double, items bigint, quantity double, row_id string, setting string, ccg string, "
+    "batch_num int, arrived_at timestamp, drug string, epoch bigint"
+)
 
 
 def latest_partition(spark: SparkSession, base: str, drug: str) -> str:
@@ -44,31 +49,6 @@ def number_batches(rows: DataFrame, order, batch_size: int, group=("drug",)) ->
     ).drop("row_num")
 
 
-def queue_batches(batches: DataFrame, path: str) -> None:
-    """Write numbered rows as one file per batch, ready to be streamed batch by batch.
-
-    The shuffle key is the batch number, so every task gets whole batches of bounded size.
-    """
-    (
-        batches.select(*[F.col(c).cast("string") for c in RAW_RECORD.names], "batch_num")
-        .repartition("batch_num")
-        .write.option("ignoreNullFields", False)
-        .option("maxRecordsPerFile", 0)
-        .partitionBy("batch_num")
-        .json(path)
-    )
-
-
-def queue_stream(spark: SparkSession, path: str, batches_per_trigger: int = 1) -> DataFrame:
-    """Stream queued batches, a fixed number of them per trigger."""
-    return (
-        spark.readStream.schema(_QUEUE)
-        .option("maxFilesPerTrigger", batches_per_trigger)
-        .option("basePath", path)
-        .json(path)
-    )
-
-
 def sink_rows(rows: DataFrame) -> DataFrame:
     """Rows as the sink stores them: numbers typed, missing texts empty, arrival time added."""
     return rows.select(
@@ -94,8 +74,9 @@ def reset_stream(spark: SparkSession, sink: str, drug: str, checkpoint: str) ->
 def run_stream(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
     """Drain a stream into the sink and return the totals per medicine.
 
-    Each batch overwrites its own (drug, batch_num) partitions, so a batch replayed after a failure
-    leaves the sink as it was. The sink can be queried between batches.
+    The sink is laid out by medicine and epoch, the number that the checkpoint gives a trigger. A trigger that failed half-way gets the
+    same number and the same rows when the stream starts again, so it overwrites just what it left: every row is
+    in the sink once. Records without a batch number get the epoch's. The sink can be queried between triggers.
     """
     spark = stream.sparkSession
     numbered = "batch_num" in stream.columns
@@ -104,34 +85,29 @@ def run_stream(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
         rows = batch if numbered else batch.withColumn("batch_num", F.lit(epoch + 1).cast("int"))
         (
             sink_rows(rows)
+            .withColumn("epoch", F.lit(epoch).cast("bigint"))
+            .hint("rebalance", "drug")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("drug", "batch_num")
+            .partitionBy("drug", "epoch")
             .parquet(sink)
         )
 
-    query = (
-        stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _drain(stream.writeStream.foreachBatch(store), checkpoint)
     return stream_totals(read_sink(spark, sink))
 
 
+def _drain(writer, checkpoint: str) -> None:
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:
-    schema = (
-        "date string, actual_cost double, items bigint, quantity double, row_id string, "
-        "setting string, ccg string, arrived_at timestamp, drug string, batch_num int"
-    )
-    if not path_exists(spark, sink):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(sink)
+    rows = spark.createDataFrame([], _SINK) if not path_exists(spark, sink) else spark.read.schema(_SINK).parquet(sink)
+    return rows.drop("epoch")
 
 
 def stream_totals(rows: DataFrame) -> DataFrame:
-    """Per medicine: records, items and cost. Also a streaming aggregate in complete mode."""
+    """Per medicine: records, items and cost. Also a streaming aggregate."""
     return rows.groupBy("drug").agg(
         F.count(F.lit(1)).alias("total_records"),
         F.sum("items").alias("total_items"),
@@ -139,21 +115,43 @@ def stream_totals(rows: DataFrame) -> DataFrame:
     )
 
 
+def _versions(spark: SparkSession, target: str) -> list[int]:
+    """Epochs whose totals were written whole."""
+    epochs = [int(d[6:]) for d in list_dirs(spark, target) if d.startswith("epoch=")]
+    return sorted(e for e in epochs if path_exists(spark, f"{target}/epoch={e}/_SUCCESS"))
+
+
+def read_totals(spark: SparkSession, target: str) -> DataFrame:
+    """The totals as of the latest trigger."""
+    found = _versions(spark, target)
+    schema = "drug string, total_records bigint, total_items bigint, total_cost_gbp double"
+    return spark.read.schema(schema).parquet(f"{target}/epoch={found[-1]}") if found else spark.createDataFrame([], schema)
+
+
 def run_totals(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
-    """Keep running totals of a stream in its state store; each trigger replaces the table."""
+    """Keep running totals of a stream in its state store; a trigger sends only the medicines it changed.
+
+    These replace their rows of the epoch before; the others are taken over. An epoch's totals are a folder of its own that counts once it
+    is whole, so a trigger that runs again gives the same totals. The epoch before the latest one is kept for readers.
+    """
     spark = stream.sparkSession
     if "batch_num" not in stream.columns:
         stream = stream.withColumn("batch_num", F.lit(0))
     totals = stream_totals(sink_rows(stream).drop("arrived_at"))
-    query = (
-        totals.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(target))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(totals.schema).parquet(target)
+
+    def merge(changed: DataFrame, epoch: int) -> None:
+        own = changed.sparkSession
+        before = [e for e in _versions(own, target) if e < epoch]
+        if before:
+            old = own.read.schema(totals.schema).parquet(f"{target}/epoch={before[-1]}")
+            # both sides hold one row a medicine
+            changed = changed.unionByName(old.join(changed.select("drug"), old["drug"].eqNullSafe(changed["drug"]), "left_anti"))
+        changed.coalesce(1).write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+        for old_epoch in before[:-1]:
+            delete_path(own, f"{target}/epoch={old_epoch}")
+
+    _drain(totals.writeStream.outputMode("update").foreachBatch(merge), checkpoint)
+    return read_totals(spark, target)
 
 
 def batch_snapshot(rows: DataFrame, n: int = 10) -> DataFrame:

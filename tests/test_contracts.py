@@ -76,6 +76,29 @@ def test_broken_rules_are_named(spark):
     assert [r["violations"] for r in rows[1:]] == [["not a JSON object"]] * 4
 
 
+def test_lines_with_more_than_one_value_are_refused(spark):
+    good = json.dumps(GOOD)
+    within = json.dumps({**GOOD, "ccg": "a} b {c", "setting": '}"x'})
+    docs = [good + " x", good + good, good + ', {"drug": "other"}', within, "  " + good + " \t", good[:-1] + ', "more": [{"a": 1}, {"b": {}}]}',
+            good.replace('"', "'"), good.replace("12.5", "NaN"), "null", good[:-1] + ', "drug": "twice"}']
+    rows = contracts.contract_records(_lines(spark, docs)).orderBy("i").collect()
+    refused = [r["violations"] == ["not a JSON object"] for r in rows]
+    assert refused == [True, True, True, False, False, False, True, True, True, False]
+    assert rows[9]["drug"] == "twice" and rows[3]["ccg"] == "a} b {c"
+
+
+def test_records_are_parsed_once(spark):
+    plan = contracts.contract_records(_lines(spark, CASES))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_written_quarantine_equals_the_split(spark, tmp_path):
+    checked = contracts.contract_records(_lines(spark, CASES))
+    for own, want in zip(contracts.write_quarantine(checked, str(tmp_path / "q")), contracts.quarantine_split(checked)):
+        assert own.columns == want.columns
+        assert sorted(map(repr, own.collect())) == sorted(map(repr, want.collect()))
+
+
 def test_split_keeps_every_row(spark):
     checked = contracts.contract_records(_lines(spark, CASES))
     valid, rejected = contracts.quarantine_split(checked)

@@ -56,9 +56,9 @@ def test_same_checkpoint_takes_nothing_twice(spark, base, tmp_path):
 def test_fixed_batches(spark, tmp_path, rows, size, sizes):
     data = [("202506", float(i), str(i), "1", f"A{i}", "4", "C", None, "d") for i in range(rows)]
     df = spark.createDataFrame(data, "date string, actual_cost double, items string, quantity string, row_id string, setting string, ccg string, icb_name string, drug string")
-    queue, sink = str(tmp_path / "queue"), str(tmp_path / "sink")
-    replay.queue_batches(replay.number_batches(df.repartition(3), ["row_id"], size), queue)
-    replay.run_stream(replay.queue_stream(spark, queue), sink, str(tmp_path / "c"))
+    path, sink = str(tmp_path / "numbered"), str(tmp_path / "sink")
+    replay.number_batches(df.repartition(3), ["row_id"], size).write.json(path)
+    replay.run_stream(spark.readStream.schema(replay.NUMBERED).json(path), sink, str(tmp_path / "c"))
     stored = replay.read_sink(spark, sink)
     got = values(stored.groupBy("batch_num").count(), "batch_num", "count")
     assert got == [(i + 1, n) for i, n in enumerate(sizes)]
@@ -75,6 +75,70 @@ def test_running_totals_equal_the_batch_sum(spark, base, tmp_path):
     assert [tuple(r) for r in totals.collect()] == [("metformin", 5, 15, 12.5)]
 
 
+def _files(path, *batches):
+    """One file of records a batch, in the order of their names."""
+    os.makedirs(path, exist_ok=True)
+    for n, rows in enumerate(batches, len(os.listdir(path))):
+        with open(f"{path}/{n}.json", "w") as out:
+            for drug, items in rows:
+                out.write(json.dumps({"date": "202506", "actual_cost": 1.5, "items": items, "row_id": "A", "drug": drug}) + "\n")
+        os.utime(f"{path}/{n}.json", (n, n))
+
+
+def _stream(spark, path):
+    return spark.readStream.schema(replay.RAW_RECORD).option("maxFilesPerTrigger", 1).json(path)
+
+
+BATCHES = [[("a", 1), ("b", 2)], [("a", 3)], [("c", 4), ("a", 5)], [("b", 6)]]
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_a_trigger_that_failed_is_stored_once_after_a_restart(spark, tmp_path, monkeypatch, late):
+    source, sink, progress = str(tmp_path / "in"), str(tmp_path / "sink"), str(tmp_path / "c")
+    _files(source, *BATCHES)
+    whole, calls = replay.sink_rows, []
+
+    def failing(rows):
+        calls.append(1)
+        if len(calls) == 3:
+            if late:  # some of its rows are stored already
+                whole(rows).filter("drug = 'c'").selectExpr("*", "2L AS epoch").write.partitionBy("drug", "epoch").mode("append").parquet(sink)
+            raise RuntimeError("killed")
+        return whole(rows)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(replay, "sink_rows", failing)
+        with pytest.raises(Exception, match="killed"):
+            replay.run_stream(_stream(spark, source), sink, progress)
+    assert replay.read_sink(spark, sink).filter("drug <> 'c'").count() == 3
+    totals = replay.run_stream(_stream(spark, source), sink, progress)
+    assert values(totals, "drug", "total_records", "total_items") == [("a", 3, 9), ("b", 2, 8), ("c", 1, 4)]
+    assert values(replay.read_sink(spark, sink), "items", "batch_num") == [(1, 1), (2, 1), (3, 2), (4, 3), (5, 3), (6, 4)]
+
+
+def test_totals_of_changed_medicines_replace_theirs(spark, tmp_path, monkeypatch):
+    source, target, progress = str(tmp_path / "in"), str(tmp_path / "totals"), str(tmp_path / "c")
+    _files(source, *BATCHES[:2])
+    shown = ("drug", "total_records", "total_items", "total_cost_gbp")
+    assert values(replay.run_totals(_stream(spark, source), target, progress), *shown) == [("a", 2, 4, 3.0), ("b", 1, 2, 1.5)]
+    _files(source, *BATCHES[2:])
+    real, calls = replay.delete_path, []
+
+    def failing(own, path):
+        calls.append(path)
+        if len(calls) == 1:
+            raise RuntimeError("killed")  # after the write of an epoch
+        return real(own, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(replay, "delete_path", failing)
+        with pytest.raises(Exception, match="killed"):
+            replay.run_totals(_stream(spark, source), target, progress)
+    totals = replay.run_totals(_stream(spark, source), target, progress)
+    assert values(totals, *shown) == [("a", 3, 9, 4.5), ("b", 2, 8, 3.0), ("c", 1, 4, 1.5)]
+    assert len([d for d in os.listdir(target) if d.startswith("epoch=")]) <= 3
+
+
 def test_empty_sink(spark, tmp_path):
     assert replay.read_sink(spark, str(tmp_path / "none")).count() == 0
 

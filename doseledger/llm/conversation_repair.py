@@ -249,8 +249,11 @@ def _chunked(rows, size: int = 4096):
         yield held
 
 
-def numbered(messages: DataFrame, conv_id="conv_id", turn="turn", role="role", text="text") -> DataFrame:
-    """conv, turn, role, text, seq (1, 2, 3, ... in a conversation), fault and the role's initial, written once."""
+def numbered(messages: DataFrame, conv_id="conv_id", turn="turn", role="role", text="text") -> tuple[DataFrame, DataFrame]:
+    """(messages, flags): conv, role, text and seq (1, 2, 3, ... in a conversation); conv, turn, seq, fault and the role's initial.
+
+    Messages are written once, by the sort that numbers them.
+    """
     rows = messages.select(
         F.col(conv_id).cast("string").alias("conv"),
         F.col(turn).alias("turn"),
@@ -259,24 +262,25 @@ def numbered(messages: DataFrame, conv_id="conv_id", turn="turn", role="role", t
     ).withColumns({"h1": F.xxhash64("role", "text"), "h2": F.xxhash64(F.lit(1), "role", "text")})
     # the range partitioner collects some keys, so they are kept short
     order = [F.asc_nulls_first("turn"), F.substring("role", 1, 64), F.substring("text", 1, 64), F.col("h1"), F.col("h2")]
-    rows = write_scratch(number_rows(rows, order, ["conv"], "seq"), "messages")
+    rows = number_rows(rows, order, ["conv"], "seq")
+    bare = strip_blanks(F.col("text"))
+    short = rows.select(
+        "conv", "turn", "seq", "h1", "h2", F.substring("role", 1, 1).alias("initial"),
+        (bare == "").alias("blank"), (~F.substring(bare, -1, 1).isin(".", "!", "?")).alias("cut"),
+    )
     # the first of equal messages, where there are several; a table of its own, so that a frequent one can be split
-    first = rows.groupBy("conv", "h1", "h2").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    first = short.groupBy("conv", "h1", "h2").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     first = write_scratch(first, "repeated")
-    bare = strip_blanks(F.col("text"))
     fault = (
-        F.when(bare == "", BLANK)
-        .when(F.col("seq") > F.col("first"), DUPLICATE)
-        .when(~F.substring(bare, -1, 1).isin(".", "!", "?"), TRUNCATED)
-        .otherwise(SOUND)
+        F.when(F.col("blank"), BLANK).when(F.col("seq") > F.col("first"), DUPLICATE).when(F.col("cut"), TRUNCATED).otherwise(SOUND)
     )
-    joined = rows.join(first, null_safe(rows, first, ["conv", "h1", "h2"]), "left")
-    return joined.select(rows["conv"], "turn", "role", "text", "seq", fault.alias("fault"), F.substring("role", 1, 1).alias("initial"))
+    joined = short.join(first, null_safe(short, first, ["conv", "h1", "h2"]), "left")
+    flags = joined.select(short["conv"], "turn", "seq", fault.alias("fault"), "initial")
+    return rows.select("conv", "role", "text", "seq"), write_scratch(flags, "message-flags")
 
 
-def plan_edits(rows: DataFrame) -> DataFrame:
-    """Per conversation of numbered messages: conv, gaps, faults by kind, illegal pairs, cost and audit, the edits' initials."""
-    flags = rows.select("conv", "turn", "seq", "fault", "initial")
+def plan_edits(flags: DataFrame) -> DataFrame:
+    """Per conversation of flagged messages: conv, gaps, faults by kind, illegal pairs, cost and audit, the edits' initials."""
     per_turn = flags.groupBy("conv", "turn").agg(
         *[F.count_if(F.col("fault") == code).alias(name) for name, code in (("blank", BLANK), ("duplicate", DUPLICATE), ("truncated", TRUNCATED))]
     )
@@ -313,8 +317,8 @@ def digests(repaired: DataFrame) -> DataFrame:
 def repair(messages: DataFrame, conv_id="conv_id", turn="turn", role="role", text="text") -> tuple[DataFrame, DataFrame]:
     """(plan per conversation, repaired messages)."""
     ship_package(messages.sparkSession)
-    rows = write_scratch(numbered(messages, conv_id, turn, role, text), "numbered-messages")
-    plan = write_scratch(plan_edits(rows), "edit-plan")
+    rows, flags = numbered(messages, conv_id, turn, role, text)
+    plan = write_scratch(plan_edits(flags), "edit-plan")
     return plan, apply_edits(rows, plan)
 
 

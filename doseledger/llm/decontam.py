@@ -1,14 +1,19 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 The index holds (term, document, position) for every word of the corpus that some test item uses, written
-once. For each window of a test item the rarest terms by corpus count are its anchors. A posting of an anchor,
-adjusted by the anchor's offset in the item, names a diagonal (document, item, start); windows can only
-occur on diagonals that at least two anchors share, and only their documents are read again, to compare
-item and document word by word along the diagonal. Common terms are never intersected unless a window has nothing rarer.
+once. Windows of equal words are one window, however many items hold them. The two rarest terms of a window by corpus count and
+the distance between them are its anchor pair, which overlapping and templated windows share. Postings of both terms, adjusted by
+the distance, meet on (document, pair, place); each meeting names the starts at which a window with that pair may stand. Only
+these documents are read again: the words at each start are spelt out and joined with the windows by equality, so a hash
+never decides what a document holds. Common terms are never intersected unless a window has nothing rarer.
+
+A text is cut into pieces of ``PIECE`` words before its starts are spelt out, so work and memory grow with its
+length alone, also where every place is a start. Windows with the same set of items share one list of them; sets are told
+apart by their size and two 64-bit hashes.
 
 Defined cases: null texts have no words; an item of fewer words than the window is one window, an item without words
 none; equal item ids count as one item; a null item id is one item, written as an empty string; equal rows give equal results;
-an empty table on either side gives no hits.
+an empty table on either side gives no hits. Document ids are numbers; a null id and -2^63 count as one id.
 """
 
 from __future__ import annotations
@@ -21,6 +26,9 @@ from doseledger.functions.columns import once
 from doseledger.llm.common import ascii_lower, carried, id_in, id_out, text_key
 from doseledger.session import write_scratch
 
+PIECE = 512
+PROBE = 16
+ITEM_SET = ("set_size", "set_a", "set_b")
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -82,15 +90,6 @@ def anchors(items: DataFrame, counts: DataFrame, window: int, rarest: int = 2) -
     )
 
 
-def diagonals(postings: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(id, th, item_no, start) on which at least ``need`` anchors meet; start may be below 0."""
-    hits = postings.join(chosen, "term").select(
-        "id", "th", "item_no", (F.col("pos") - F.col("offset")).alias("start"), "need"
-    )
-    met = hits.groupBy("id", "th", "item_no", "start").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
-    return met.filter("n >= need").drop("n", "need")
-
-
 def proximity_matches(postings: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
     """(id, th, item_no, start): diagonals within ``slop`` words of each other hold ``need`` anchors.
 
@@ -105,32 +104,96 @@ def proximity_matches(postings: DataFrame, chosen: DataFrame, slop: int) -> Data
     return met.groupBy("id", "th", "item_no", "bucket").agg(F.min("start").alias("start")).select("id", "th", "item_no", "start").distinct()
 
 
-def phrase_hits(docs: DataFrame, items: DataFrame, found: DataFrame, window: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, th, item, at): start and width of every window of an item that the document holds.
+def item_windows(items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(windows, set_items): win_no, phrase, width and the key of its item set; that key and each item of the set."""
+    n = F.size("item_words")
+    starts = F.sequence(F.lit(0), F.greatest(n - window, F.lit(0)))
+    last = lambda s: F.least(s + window, n) - 1
+    phrases = F.transform(starts, lambda s: F.array_join(F.transform(F.sequence(s, last(s)), lambda i: F.get("item_words", i)), " "))
+    own = write_scratch(items.select("item", F.explode(phrases).alias("phrase")).distinct(), "item-windows")
+    windows = own.groupBy("phrase").agg(
+        F.count(F.lit(1)).alias("set_size"),
+        F.bit_xor(F.xxhash64("item")).alias("set_a"),
+        F.bit_xor(F.xxhash64(F.lit(1), "item")).alias("set_b"),
+    )
+    width = F.size(F.split("phrase", " "))
+    windows = write_scratch(windows.withColumns({"width": width, "win_no": F.monotonically_increasing_id()}), "windows")
+    one = windows.groupBy(*ITEM_SET).agg(F.min("phrase").alias("phrase"))
+    return windows, write_scratch(own.join(one, "phrase").select(*ITEM_SET, "item"), "item-sets")
+
 
-    One row per (document, item, start, window); the words are compared, so a hash never decides.
+def anchor_pairs(windows: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs, lanes): pair_no, term, delta, need of each anchor; pair_no, back, width of the windows with that pair.
+
+    A window with a term that the corpus lacks can't occur and gets no anchors. A window of one word has one anchor, as has one whose
+    second term is over ``PROBE`` times as frequent: spelling out the few places costs less than that term's postings.
     """
-    asked = (
-        found.join(items, "item_no")
-        .groupBy("id", "th")
-        .agg(F.collect_set(F.struct("item", "start", "item_words")).alias("asked"))
-        .withColumnsRenamed({"id": "a_id", "th": "a_th"})
+    spread = windows.select("win_no", "width", F.posexplode(F.split("phrase", " ")).alias("o", "word")).join(counts, "word")
+    whole = Window.partitionBy("win_no")
+    ranked = spread.withColumns(
+        {
+            "found": F.count(F.lit(1)).over(whole),
+            "least": F.min("count").over(whole),
+            "rank": F.row_number().over(whole.orderBy("count", "o")),
+        }
     )
+    useful = (F.col("rank") == 1) | ((F.col("rank") == 2) & (F.col("count") <= PROBE * F.col("least")))
+    rarest = ranked.filter((F.col("found") == F.col("width")) & useful).groupBy("win_no", "width")
+    ends = rarest.agg(F.min(F.struct("o", "term")).alias("lo"), F.max(F.struct("o", "term")).alias("hi"))
+    key = {"first": F.col("lo.term"), "second": F.col("hi.term"), "delta": F.col("hi.o") - F.col("lo.o")}
+    keyed = write_scratch(ends.select("width", F.col("lo.o").alias("back"), *[c.alias(k) for k, c in key.items()]), "anchor-pairs")
+    numbered = keyed.select(*key).distinct().withColumn("pair_no", F.monotonically_increasing_id())
+    numbered = write_scratch(numbered, "pair-numbers")
+    # both ends of a pair at no distance are one anchor
+    need = F.when(F.col("delta") > 0, 2).otherwise(1)
+    begin = numbered.select("pair_no", F.col("first").alias("term"), F.lit(0).alias("delta"), need.alias("need"))
+    end = numbered.filter("delta > 0").select("pair_no", F.col("second").alias("term"), "delta", F.lit(2).alias("need"))
+    lanes = keyed.join(numbered, list(key)).select("pair_no", "back", "width").distinct()
+    return write_scratch(begin.unionByName(end), "pair-terms"), write_scratch(lanes, "lanes")
+
+
+def possible_starts(postings: DataFrame, pairs: DataFrame, lanes: DataFrame) -> DataFrame:
+    """(id, th, asked): for each piece of a document its number and the (start, width) at which a window may stand.
+
+    All steps group within a document, so one shuffle by document serves them.
+    """
+    hits = postings.join(pairs, "term").select("id", "th", "pair_no", (F.col("pos") - F.col("delta")).alias("place"), "need")
+    met = hits.repartition("id", "th").groupBy("id", "th", "pair_no", "place").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
+    starts = met.filter("n >= need").join(lanes, "pair_no").select("id", "th", (F.col("place") - F.col("back")).alias("start"), "width")
+    piece = F.floor(F.col("start") / PIECE).cast("int")
+    in_piece = starts.filter("start >= 0").groupBy("id", "th", piece.alias("piece")).agg(F.collect_set(F.struct("start", "width")).alias("starts"))
+    return in_piece.groupBy("id", "th").agg(F.collect_list(F.struct("piece", "starts")).alias("asked"))
+
+
+def phrase_hits(
+    docs: DataFrame, windows: DataFrame, asked: DataFrame, window: int, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(id, th, at, width, item set): every place where a window stands in a document."""
+    asked = asked.withColumnsRenamed({"id": "a_id", "th": "a_th"})
     body = docs.select(id_in(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     body = body.withColumn("th", text_key(F.col("body"))).join(asked, (F.col("id") == F.col("a_id")) & (F.col("th") == F.col("a_th")))
     spelt = once(body.select("id", "th", "asked", "body"), "doc_words", terms(F.col("body"))).drop("body")
-    one = spelt.select("id", "th", "doc_words", F.explode("asked").alias("q")).select("id", "th", "doc_words", "q.item", "q.start", "q.item_words")
-    same = F.transform(
-        "item_words",
-        lambda w, o: F.coalesce(F.when(F.col("start") + o >= 0, F.get("doc_words", F.col("start") + o)) == w, F.lit(False)),
+    # words are fetched one by one, as taking a slice inside a lambda copies the whole array first
+    cut = lambda words, low, high: F.transform(F.sequence(low, high), lambda i: F.get(words, i))
+    pieces = F.transform(
+        "asked",
+        lambda a: F.struct(
+            (a["piece"] * PIECE).alias("base"),
+            a["starts"].alias("starts"),
+            cut(F.col("doc_words"), a["piece"] * PIECE, (a["piece"] + 1) * PIECE + window - 2).alias("part"),
+        ),
     )
-    one = once(one, "same", same)
-    n = F.size("same")
-    width = F.least(n, F.lit(window))
-    starts = F.filter(F.sequence(F.lit(0), n - width), lambda s: F.forall(F.slice("same", s + 1, width), lambda ok: ok))
-    return one.select("id", "th", "item", "start", width.alias("width"), F.explode(starts).alias("s")).select(
-        "id", "th", "item", (F.col("start") + F.col("s")).alias("at"), "width"
+    one = spelt.select("id", "th", F.explode(pieces).alias("p")).select("id", "th", "p.base", "p.starts", "p.part")
+    # a start too near the end of the text spells fewer words
+    spelling = F.transform(
+        "starts",
+        lambda s: F.struct(
+            s["start"].alias("at"),
+            F.array_join(cut(F.col("part"), s["start"] - F.col("base"), s["start"] - F.col("base") + s["width"] - 1), " ").alias("phrase"),
+        ),
     )
+    spelt_out = one.select("id", "th", F.explode(spelling).alias("s")).select("id", "th", "s.at", "s.phrase")
+    return spelt_out.join(windows, "phrase").select("id", "th", "at", "width", *ITEM_SET).distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -140,11 +203,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, doc_id: s
     """
     items = item_terms(items)
     postings, ends, counts = build_index(docs, items, doc_id, text)
-    found = diagonals(postings, anchors(items, counts, window))
-    hits = write_scratch(phrase_hits(docs, items, found, window, doc_id, text), "phrases")
+    windows, set_items = item_windows(items, window)
+    asked = possible_starts(postings, *anchor_pairs(windows, counts))
+    hits = write_scratch(phrase_hits(docs, windows, asked, window, doc_id, text), "phrases")
     covered = hits.select("id", "th", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("width") - 1)).alias("p")).distinct()
     per_doc = covered.groupBy("id", "th").agg(F.count(F.lit(1)).alias("n_hit"))
-    by_item = hits.groupBy("id", "th").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    named = hits.select("id", "th", *ITEM_SET).distinct().join(set_items, list(ITEM_SET))
+    by_item = named.groupBy("id", "th").agg(F.sort_array(F.collect_set("item")).alias("items"))
     out = ends.join(per_doc.join(by_item, ["id", "th"]), ["id", "th"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(

@@ -9,8 +9,8 @@ over three segments leave either a segment without errors and another with one a
 * Golay key of the first segment + an exact half of each of the other two (four pairs of halves).
 
 Keys keep about 33 bits of selectivity. Rows are distinct fingerprints, so copies cost nothing here. Inside one key, fingerprints are
-verified by counting differing bits in blocks, and only links that join parts not yet joined leave the task; a very
-full key is first cut again by an exact part of its other bits. Components are found by star contraction over written
+verified by counting differing bits, and only links that join parts not yet joined leave the task. The prints of a key
+with more than ``BLOCK`` are numbered in blocks, and every two blocks of it meet in a cell of their own, a task of bounded size. Components are found by star contraction over written
 tables, whose edges shrink; no links pass the driver.
 
 Defined cases: a null text is an empty one; texts without words have fingerprint zero and link like others; a null id counts only
@@ -19,7 +19,7 @@ if all ids of a component are null; equal rows give equal results; an empty tabl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -37,7 +37,8 @@ SHINGLE, SEED, MOST = 3, 42, 3
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 HALVES = (((22, 11), (33, 10)), ((43, 11), (54, 10)))
 GENERATOR = 0b110001110101  # fixed value: generator polynomial of the (23,12) Golay code
-BLOCK = 2048
+#: most prints of a key that one task compares with each other; fuller keys go by pairs of such blocks
+BLOCK = 4096
 
 
 def fingerprint(text: str | None) -> int:
@@ -114,83 +115,112 @@ def _keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"key": keys, "fp": part[rows].view(np.int64)})
 
 
-def _forest(prints: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what lies within three bits of each other, each joining two parts."""
-    if len(prints) == 2:
+def _forest(prints: np.ndarray, others: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect what lies within three bits of each other, each joining two parts.
+
+    With ``others``, only pairs of one print of each side are compared.
+    """
+    if others is None and len(prints) == 2:
         return [(int(prints[0]), int(prints[1]))] if int(prints[0] ^ prints[1]).bit_count() <= MOST else []
-    if len(prints) > BLOCK:
-        # three errors leave one of four parts of 16 bits exact; a part with all prints equal can't cut
-        out = []
-        for first in (0, 16, 32, 48):
-            part = _bits(prints, first, 16)
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order])) + 1
-            for own in np.split(prints[order], cuts):
-                if len(own) > 1:
-                    out += _forest_blocks(own)
-        return out
-    return _forest_blocks(prints)
-
-
-def _forest_blocks(prints: np.ndarray) -> list[tuple[int, int]]:
-    parent = np.arange(len(prints))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for x in range(1, len(prints)):
-        near = np.flatnonzero(np.bitwise_count(prints[:x] ^ prints[x]) <= MOST)
-        for y in near:
-            a, b = root(x), root(int(y))
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                out.append((int(prints[x]), int(prints[y])))
+    start = 1 if others is None else len(prints)
+    nodes = prints if others is None else np.concatenate([prints, others])
+    part, out = np.arange(len(nodes)), []
+    for x in range(start, len(nodes)):
+        near = np.flatnonzero(np.bitwise_count(nodes[: x if others is None else start] ^ nodes[x]) <= MOST)
+        parts = part[near]
+        # most often all neighbours are of one part already
+        while len(parts):
+            out.append((int(nodes[x]), int(nodes[near[0]])))
+            part[part == part[x]] = parts[0]
+            apart = parts != parts[0]
+            near, parts = near[apart], parts[apart]
     return out
 
 
-def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by key; a key may go on in the next batch."""
-    held_key, held = None, []
+def _pairs(pairs: list[tuple[int, int]]) -> pd.DataFrame:
+    a = np.array(pairs, np.uint64).reshape(-1, 2)
+    return pd.DataFrame({"a": a[:, 0].view(np.int64), "b": a[:, 1].view(np.int64)})
+
+
+def _linked(block: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Links of keys with at most ``block`` prints; the prints of fuller keys go on as numbered blocks (``block`` -1: a link)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows come sorted by key; a key may go on in the next batch
+        key, held, n = None, np.empty(0, np.uint64), 0
+
+        def close() -> pd.DataFrame:
+            return numbered(key, held, n) if n else links_of(_forest(held))
+
+        def links_of(pairs):
+            return _pairs(pairs).assign(key=np.int64(0), block=np.int64(-1))
+
+        def numbered(key, prints, first):
+            own = first + np.arange(len(prints), dtype=np.int64) // block
+            return pd.DataFrame({"a": prints.view(np.int64), "b": np.int64(0), "key": np.int64(key), "block": own})
+
+        for batch in batches:
+            keys = batch["key"].to_numpy(np.int64)
+            prints = batch["fp"].to_numpy(np.int64).view(np.uint64)
+            if not len(keys):
+                continue
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
+            pairs = []
+            # keys that begin and end inside the batch
+            inner = np.flatnonzero(np.diff(starts[1:-1]) > 1) + 1
+            for s, e in zip(starts[inner], starts[inner + 1]):
+                if e - s <= block:
+                    pairs += _forest(prints[s:e])
+                else:
+                    yield numbered(keys[s], prints[s:e], 0)
+            if pairs:
+                yield links_of(pairs)
+            # the first and the last key may reach over the borders
+            for s, e in sorted({(int(starts[0]), int(starts[1])), (int(starts[-2]), int(starts[-1]))}):
+                if key != keys[s]:
+                    if len(held):
+                        yield close()
+                    key, held, n = keys[s], np.empty(0, np.uint64), 0
+                held = np.concatenate([held, prints[s:e]])
+                if len(held) > block:
+                    whole = (len(held) - 1) // block
+                    yield numbered(key, held[: whole * block], n)
+                    held, n = held[whole * block :], n + whole
+        if len(held):
+            yield close()
+
+    return run
+
+
+def _cell_links(cell: pd.DataFrame) -> pd.DataFrame:
+    prints = cell["fp"].to_numpy(np.int64).view(np.uint64)
+    second = (cell["block"] == cell["hi"]).to_numpy()
+    if cell["lo"].iloc[0] == cell["hi"].iloc[0]:
+        return _pairs(_forest(prints))
+    return _pairs(_forest(prints[~second], prints[second]))
+
+
+def cells(full: DataFrame) -> DataFrame:
+    """Prints of full keys (key, block, fp) in cells of two blocks (key, lo, hi): every two blocks of a key meet in one cell.
+
+    The number of blocks is joined by key and block, so that no task gets a whole key.
+    """
+    blocks = full.groupBy("key").agg(F.max("block").alias("last")).select("key", "last", F.explode(F.sequence(F.lit(0), "last")).alias("block"))
+    paired = full.join(blocks, ["key", "block"]).withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    return paired.select("key", "block", "fp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
 
-    def emit(pairs):
-        a = np.array(pairs, np.uint64).reshape(-1, 2)
-        return pd.DataFrame({"a": a[:, 0].view(np.int64), "b": a[:, 1].view(np.int64)})
 
-    for batch in batches:
-        key = batch["key"].to_numpy(np.int64)
-        prints = batch["fp"].to_numpy(np.int64).view(np.uint64)
-        if not len(key):
-            continue
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
-        pairs = []
-        full = np.flatnonzero(np.diff(starts) > 1)
-        for s, e in zip(starts[full], starts[full + 1]):
-            if s > 0 and e < len(key):
-                pairs += _forest(prints[s:e])
-        # the first and last key of a batch may reach over its borders
-        first, last = (int(starts[0]), int(starts[1])), (int(starts[-2]), int(starts[-1]))
-        for s, e in [first] if first == last else [first, last]:
-            if held_key == key[s]:
-                held.append(prints[s:e])
-            else:
-                if held:
-                    pairs += _forest(np.concatenate(held))
-                held_key, held = key[s], [prints[s:e]]
-        if pairs:
-            yield emit(pairs)
-    if held and (pairs := _forest(np.concatenate(held))):
-        yield emit(pairs)
-
-
-def links(prints: DataFrame) -> DataFrame:
-    """(a, b): links between distinct fingerprints ``fp`` that span every component."""
+def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b): links between distinct fingerprints ``fp`` that span every component.
+
+    No task compares more than two blocks of ``block`` prints at a time, however many prints a key has.
+    """
     keyed = prints.select("fp").mapInPandas(_keyed, "key long, fp long")
     sorted_keys = keyed.repartition("key").sortWithinPartitions("key")
-    return sorted_keys.mapInPandas(_linked, "a long, b long").distinct()
+    judged = write_scratch(sorted_keys.mapInPandas(_linked(block), "a long, b long, key long, block long"), "links")
+    full = judged.filter("block >= 0").select("key", "block", F.col("a").alias("fp"))
+    apart = cells(full).groupBy("key", "lo", "hi").applyInPandas(_cell_links, "a long, b long")
+    return judged.filter("block < 0").select("a", "b").unionByName(apart).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: SimHash prints within three bits, or four fifths of five-word shingles shared."""
     return near_copies.keep_one_copy(docs)
 
 
@@ -44,7 +44,7 @@ STAGES = [
     ("sharding", shard),
 ]
 
-ORACLE_SQL = None  # min-hash bands, apportionment and differencing have no SQL form
+ORACLE_SQL = None  # SimHash, min-hash bands, apportionment and differencing have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Near copies of texts: sets of five-word shingles whose Jaccard similarity is 0.8 or more.
+"""Near copies of texts: sets of five-word shingles whose Jaccard similarity is 0.8 or more, or SimHash prints within three bits.
+
+The pipeline links by both, and SimHash comes first: prints meet by the Golay-code keys of :mod:`doseledger.llm.simhash`, are verified there, and each link joins the
+shingle sets behind its prints. Three bits hold a pair of similarity 0.8 only now and then, so bands of min-hashes find the
+others; what SimHash has joined is not compared again.
 
 A set's sketch is one byte of each of 160 min-hashes. Five bytes in a row are a band, so the sketch holds the 32 band keys whole. Two sets of
 similarity s share a band with probability 1 - (1 - s^5)^32: all but 3 of a million pairs at 0.8, fewer above. Inside a band, sketches
@@ -25,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from doseledger.llm import simhash
 from doseledger.llm.common import carried, drop_scratch, ship_package, text_key
 from doseledger.llm.simhash import components, first_of_each, grouped
 from doseledger.session import write_scratch
@@ -246,12 +251,27 @@ def _stars(members: DataFrame, sets_of, roots: DataFrame) -> DataFrame:
     return roots
 
 
-def links(per_set: DataFrame, sets_of) -> DataFrame:
-    """(node, root) of every set that has a near copy. per_set: fp, n, sketch. sets_of: from a frame of fp to fp, own."""
+def simhash_roots(rows: DataFrame) -> DataFrame:
+    """(node, root) of every set that SimHash links to another. rows: fp, print (the signed fingerprint of a text).
+
+    A print stands for the smallest set it has, so that prints and sets aren't mixed up as nodes.
+    """
+    behind = write_scratch(rows.select("fp", "print").distinct(), "prints-of-sets")
+    named = write_scratch(behind.groupBy("print").agg(F.min("fp").alias("set")), "sets-of-prints")
+    found = simhash.links(named.select(F.col("print").alias("fp")))
+    for end in ("a", "b"):
+        found = found.join(named.select(F.col("print").alias(end), F.col("set").alias(f"set_{end}")), end)
+    same = behind.join(named, "print").select(F.col("fp").alias("a"), F.col("set").alias("b"))
+    edges = found.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).unionByName(same)
+    return write_scratch(components(edges), "simhash-copies")
+
+
+def links(per_set: DataFrame, sets_of, known: DataFrame) -> DataFrame:
+    """(node, root) of every set that has a near copy. per_set: fp, n, sketch. sets_of: from a frame of fp to fp, own. known: links so far, as (node, root)."""
     keyed = per_set.select("fp", F.explode(F.pandas_udf(_keys, "array<long>")("sketch")).alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
     members = write_scratch(keyed.join(write_scratch(shared, "shared-bands"), "key").select("key", "fp"), "bands")
-    roots = _stars(members, sets_of, members.sparkSession.createDataFrame([], "node long, root long"))
+    roots = _stars(members, sets_of, known)
     left = _placed(members, roots)
     drop_scratch(members)
     blocks = [F.ceil(F.col(c) / BLOCK).cast("int") for c in ("others", "members")]
@@ -281,13 +301,18 @@ def links(per_set: DataFrame, sets_of) -> DataFrame:
     return write_scratch(components(forest), "copies")
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, th, fp (key of its shingle set), component_id (smallest id it reaches), root."""
-    ship_package(docs.sparkSession)
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prints: bool = False) -> DataFrame:
+    """One row per input row: doc_id, th, fp (key of its shingle set), component_id (smallest id it reaches), root.
+
+    With ``prints``, texts link by SimHash as well as by their shingle sets.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
     body = F.coalesce(F.col(text), F.lit(""))
     signed = F.pandas_udf(_signatures, "fp long, n long, sketch binary")(F.col(text))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(body).alias("th"), signed.alias("s"))
-    rows = write_scratch(rows.select("doc_id", "th", "s.fp", "s.n", "s.sketch"), "signatures")
+    own = [simhash.fingerprints(F.col(text)).alias("print")] if prints else []
+    rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(body).alias("th"), signed.alias("s"), *own)
+    rows = write_scratch(rows.select("doc_id", "th", "s.fp", "s.n", "s.sketch", *(["print"] if prints else [])), "signatures")
     one = rows.groupBy("fp").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "th")).alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
@@ -299,14 +324,15 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         found = texts.join(chosen, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")))
         return found.select("fp", F.pandas_udf(_sets, "binary")("body").alias("own")).dropDuplicates(["fp"])
 
-    roots = links(per_set.select("fp", "n", "sketch"), sets_of)
+    known = simhash_roots(rows) if prints else spark.createDataFrame([], "node long, root long")
+    roots = links(per_set.select("fp", "n", "sketch"), sets_of, known)
     ids = grouped(per_set, roots)
     return rows.select("doc_id", "th", "fp").join(ids, "fp").select("doc_id", "th", "fp", "component_id", "root")
 
 
 def keep_one_copy(docs: DataFrame) -> DataFrame:
     """One row of each component: that of its smallest id; of rows with this id, the one of smallest text key."""
-    judged = near_copies(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    judged = near_copies(docs, prints=True).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keys = judged.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "root").distinct()
     rows = carried(docs, id=F.col("doc_id"), th=text_key(F.coalesce("text", F.lit(""))))
     return first_of_each(rows.join(keys, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th"))))

@@ -8,7 +8,7 @@ import numpy as np
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 import corpus_pipeline  # noqa: E402
-from doseledger.llm import near_copies  # noqa: E402
+from doseledger.llm import near_copies, simhash  # noqa: E402
 
 rng = random.Random(11)
 
@@ -92,3 +92,18 @@ def test_full_bands_are_cut_into_cells(spark, monkeypatch):
         monkeypatch.setattr(near_copies, "STARS", stars)
         got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()}
         assert [got[i] for i in range(len(bodies))] == want, block
+
+
+def test_stage_links_by_simhash(spark):
+    """Texts within three bits of each other, but of too few equal five-word shingles, are near copies too; those further away are not."""
+    base, near, far = words(150), None, None
+    for _ in range(20000):
+        other = edited(base, rng.randint(4, 8))
+        bits = (simhash.fingerprint(" ".join(base)) ^ simhash.fingerprint(" ".join(other))).bit_count()
+        own, copy = shingles(" ".join(base)), shingles(" ".join(other))
+        if 5 * len(own & copy) < 4 * len(own | copy):
+            near, far = (other if bits <= simhash.MOST else near), (other if bits > 8 else far)
+        if near and far:
+            break
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate((base, near, far, words(150)))], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [0, 2, 3]

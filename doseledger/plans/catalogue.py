@@ -96,7 +96,7 @@ def _lake(spark, sf) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _lakes:
         base = new_scratch(spark, "lake")
-        lake.write_bronze(_bronze(spark, sf).select(*RAW_RECORD.names, "resource"), base, "nhsbsa_epd")
+        lake.write_bronze(_bronze(spark, sf).select(*RAW_RECORD.names, "resource"), base, "nhsbsa_epd", "gzip")
         _lakes[key] = base
     return _lakes[key]
 

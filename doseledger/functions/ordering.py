@@ -52,23 +52,24 @@ def number_rows(df: DataFrame, order, group=(), name: str = "row_num") -> DataFr
 def first_rows(df: DataFrame, group, block, position: str, limit: int) -> DataFrame:
     """The first ``limit`` rows of each group, in order of block, then position inside the block.
 
-    Blocks are file splits. Their row counts decide how many rows each block still owes, so that
-    rows past the limit are dropped beside their scan and no group passes through one task.
+    Blocks are file splits. One scan keeps the first ``limit`` rows of each group and block and writes them; rows past these are dropped
+    beside the scan. How many of them the blocks hold decides what each still owes: a block cut at the limit leaves
+    nothing to those behind it, so counts need no rows that were dropped. No group passes through one task.
     """
     group, block = list(group), list(block)
+    inside = Window.partitionBy(*group, *block).orderBy(position)
+    ranked = write_scratch(df.withColumn("__rank", F.row_number().over(inside)).filter(F.col("__rank") <= limit), "first-rows")
     earlier = (
         Window.partitionBy(*group).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     )
     owed = write_scratch(
-        df.groupBy(*group, *block)
+        ranked.groupBy(*group, *block)
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__owed", F.lit(limit) - F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
         .filter("__owed > 0")
         .select(*group, *block, "__owed"),
         "owed",
     )
-    inside = Window.partitionBy(*group, *block).orderBy(position)
-    ranked = df.withColumn("__rank", F.row_number().over(inside)).filter(F.col("__rank") <= limit)
     return (
         ranked.join(owed, null_safe(ranked, owed, [*group, *block]))
         .filter(ranked["__rank"] <= owed["__owed"])

@@ -26,26 +26,19 @@ _ONE_TASK = 1 << 40
 def csv_headers(spark: SparkSession, paths) -> dict[str, list[str]]:
     """Files by their header line, the first line that is not blank.
 
-    One job for any number of files. Each task opens one file and stops after its header, so its cost doesn't depend on the size of
-    files; the driver gets one row a file, as the listing of files gives it anyway.
+    One job for any number of files, a task a file. Lines past the header are dropped as the reader hands them over, so all of a file's
+    bytes are read, but no line goes on; the driver gets one row a file, as the listing of files gives it anyway.
     """
     probe = spark.newSession()  # settings for this job only
     probe.conf.set("spark.sql.files.maxPartitionBytes", _ONE_TASK)
     probe.conf.set("spark.sql.files.openCostInBytes", _ONE_TASK)
-    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-
-    def first_line(batches):
-        for batch in batches:
-            if batch["block"].iat[0] == 0 and batch["line"].iat[0].strip("\ufeff \t\r"):
-                yield batch[["file", "line"]]
-                return
-
-    lines = probe.read.text(paths).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-    )
+    line = F.trim("value", F.lit("\ufeff \t\r")).alias("line")
+    lines = probe.read.text(paths).filter("_metadata.file_block_start = 0").select(line, F.col("_metadata.file_path").alias("file"))
+    # the id's lower bits number the lines that are not blank inside their task
+    numbered = lines.filter("line <> ''").withColumn("at", F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)))
     found: dict[str, list[str]] = {}
-    for row in lines.mapInPandas(first_line, "file string, line string").collect():
-        found.setdefault(row["line"].strip("\ufeff \t\r"), []).append(unquote(row["file"]))
+    for row in numbered.filter("at = 0").collect():
+        found.setdefault(row["line"], []).append(unquote(row["file"]))
     return found
 
 

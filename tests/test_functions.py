@@ -95,3 +95,12 @@ def test_first_rows_follow_block_order(spark):
     got = values(first_rows(df, ["g"], ["file", "block"], "seq", 55), "g", "file", "seq")
     expected = [("a", f"f{i // 40}", i % 40) for i in range(55)] + [("b", "f3", i) for i in range(5)]
     assert got == sorted(expected)
+
+
+def test_first_rows_scan_their_input_once(spark):
+    """What is returned comes from written rows; blocks cut at the limit leave nothing to those behind them."""
+    df = spark.range(1000).selectExpr("id % 2 AS g", "id DIV 100 AS block", "id AS seq")
+    first = first_rows(df, ["g"], ["block"], "seq", 120)
+    assert "Range (" not in first._jdf.queryExecution().optimizedPlan().toString()
+    assert values(first, "g", "seq") == sorted((g, s) for g in (0, 1) for s in range(g, 240, 2))
+    assert values(first_rows(df, ["g"], ["block"], "seq", 7), "g", "seq") == sorted((g, s) for g in (0, 1) for s in range(g, 14, 2))

@@ -282,3 +282,23 @@ def test_headers_read_only_the_beginning_of_a_file(spark, tmp_path):
 def test_folder_without_headers_has_no_rows(spark, tmp_path):
     (tmp_path / "EPD_202401.csv").write_text("\n\n")
     assert read_epd_csv(spark, str(tmp_path)).collect() == []
+
+
+def test_header_job_sends_no_lines_to_python(spark, tmp_path, monkeypatch):
+    """Lines behind the header stay beside the scan; blank lines and a byte order mark before it are passed over."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    (tmp_path / "a.csv").write_text("\n \t\n\ufeffA,B \n1,2\n")
+    (tmp_path / "b.csv").write_text("A,B\n3,4\n")
+    for name in ("mapInPandas", "mapInArrow"):
+        monkeypatch.delattr(DataFrame, name)
+    found = csv_headers(spark, [str(tmp_path)])
+    assert {k: len(v) for k, v in found.items()} == {"A,B": 2}
+
+
+def test_lake_files_are_small_and_read_back(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("'2024-01-01' AS date", "1.5 AS actual_cost", "'m' AS drug", "'EPD_202401' AS resource")
+    write_bronze(rows, str(tmp_path), "nhsbsa_epd", "gzip")
+    sizes = [f.stat().st_size for f in tmp_path.rglob("part-*")]
+    assert 0 < sum(sizes) < 5000 * 10
+    assert read_bronze(spark, str(tmp_path)).filter("date = '2024-01-01' AND drug = 'm'").count() == 5000

@@ -19,7 +19,7 @@ from doseledger.operators import silver as silver_ops
 from doseledger.plans import refresh
 from doseledger.plans import sql_text as q
 from doseledger.schemas import LEDGER_CSV_HEADER, NULL_LIMITS, RAW_RECORD, drug_code_table, promoted_table
-from doseledger.session import new_scratch
+from doseledger.session import new_scratch, write_scratch
 from doseledger.sources import bronze as lake
 from doseledger.sources import inventory, ledger_csv, sample_tables, web_pages
 from doseledger.streaming import replay
@@ -1059,7 +1059,7 @@ _INGEST_FIELDS = ", ".join(
 def ingest_run(spark, sf):
     """Deliveries checked, written and committed by batch: all rows of Bronze, and of refused batches with their reasons."""
     base = new_scratch(spark, "ingest")
-    lines, headers = sample_tables.record_lines(spark, sf), _headers(spark, sf)
+    lines, headers = sample_tables.record_lines(spark, sf), write_scratch(_headers(spark, sf), "headers")
     ingest.ingest_lines(lines, headers, base)
     def named(batch):
         return (F.col("batch_drug") == batch[0]) & (F.col("batch_resource") == batch[1])

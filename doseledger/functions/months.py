@@ -16,8 +16,17 @@ _COMPACT = r"^\s*\d{4}(?:0?[1-9]|1[0-2])\s*$"
 
 
 def iso_date(text: Column) -> Column:
-    """A date from ISO text. Spark alone would also read ``202506`` as the year 202506."""
-    return F.when(text.rlike(_ISO), F.translate(F.trim(text), "/", "-").try_cast("date"))
+    """A date from ISO text. Spark alone would also read ``202506`` as the year 202506.
+
+    Text with the dashes and the last digit of ``YYYY-MM-DD`` is left to the cast, which judges its other characters as the pattern does;
+    text without dash or slash is none. Only the rest goes through the pattern.
+    """
+    plain = (
+        (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+        & F.substring(text, 10, 1).between("0", "9")
+    )
+    other = (text.contains("-") | text.contains("/")) & text.rlike(_ISO)
+    return F.when(plain | other, F.translate(F.trim(text), "/", "-").try_cast("date"))
 
 
 def month_key(text: Column, date: Column | None = None) -> Column:
@@ -27,10 +36,11 @@ def month_key(text: Column, date: Column | None = None) -> Column:
     """
     compact = F.trim(text)
     date = iso_date(text) if date is None else date
-    return F.when(
+    # no text is both; the date is there already
+    return F.when(date.isNotNull(), F.substring(date.cast("string"), 1, 7)).when(
         text.rlike(_COMPACT),
         F.concat(F.substring(compact, 1, 4), F.lit("-"), F.lpad(F.substring(compact, 5, 2), 2, "0")),
-    ).otherwise(F.substring(date.cast("string"), 1, 7))
+    )
 
 
 def month_start(key: Column) -> Column:

@@ -12,15 +12,17 @@ def term_counts(sections: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
     """Frequency of each term per medicine and page type.
 
     Terms are counted inside each task first, so a frequent term or a dominant medicine shuffles
-    as one row per task.
+    as one row per task. Stop words go behind the count, once a term.
     """
-    words = tokenise(section_text(F.col("heading"), F.col("text"), F.col("bullets")), stop_words)
-    return (
+    words = tokenise(section_text(F.col("heading"), F.col("text"), F.col("bullets")), ())
+    counted = (
         sections.select("drug", "page_type", F.explode(words).alias("term"))
         .groupBy("drug", "term", "page_type")
         .agg(F.count(F.lit(1)).alias("frequency"))
         .select("drug", "term", "frequency", "page_type")
     )
+    stops = list(stop_words)
+    return counted.filter(~F.col("term").isin(stops)) if stops else counted
 
 
 def top_terms(sections: DataFrame, n: int = 20, stop_words=STOP_WORDS) -> DataFrame:

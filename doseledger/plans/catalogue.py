@@ -1100,8 +1100,8 @@ _PAGE_TYPE = "CASE doc_id % 3 WHEN 0 THEN 'side_effects' WHEN 1 THEN 'contraindi
 def medallion_from_files(spark, sf):
     """The refresh from source CSV and page documents on, one medicine's pages refused; content of the published tables."""
     path, database = new_scratch(spark, "csv"), _database(spark)
-    rows = sample_tables.ledger_csv(spark, sf).drop(*_ORDER)
-    rows.hint("rebalance", "resource").write.partitionBy("resource").option("header", True).option("escape", '"').csv(path)
+    rows = sample_tables.ledger_csv(spark, sf, by_file=True).drop(*_ORDER)
+    rows.write.partitionBy("resource").option("header", True).option("escape", '"').csv(path)
     kind = F.when(F.col("doc_id") % 3 == 0, "side_effects").when(F.col("doc_id") % 3 == 1, "contraindications").otherwise("interactions")
     section = F.struct(
         "url", F.when((F.col("drug") == "es") & (F.col("doc_id") % 2 == 0), "dosage").otherwise(kind).alias("page_type"), "heading", "text", "bullets"

@@ -83,8 +83,18 @@ def _plain_text(column: str):
     return F.col(column).cast("decimal(18,2)").cast("string")
 
 
-def text_records(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
-    """The same records with their numbers as text, some of it unreadable when ``dirty``."""
+_SOURCE = ("l_shipdate", "l_quantity", "l_extendedprice", "s_nationkey", "p_type", "p_name")
+
+
+def text_records(spark: SparkSession, sf_dir: str, dirty: bool = True, by_file: bool = False) -> DataFrame:
+    """The same records with their numbers as text, some of it unreadable when ``dirty``.
+
+    ``by_file`` lays them out and orders them by source file, as the supplied values, before the wider text is made of these.
+    """
+    lines, common = _lines(spark, sf_dir), _common()
+    if by_file:
+        lines = lines.select(*ROW_KEYS, *_SOURCE, common.pop()).hint("rebalance", "resource").sortWithinPartitions("resource")
+        common.append(F.col("resource"))
     cost, whole = _plain_text("l_extendedprice"), F.col("l_quantity").cast("bigint").cast("string")
     items = (
         F.when(_every(53) | _both_missing(), F.lit(None)).when(_every(41), F.lit("0")).otherwise(whole)
@@ -93,8 +103,8 @@ def text_records(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFr
     if dirty:
         items = F.when(_every(23), "twelve").when(_every(19), F.concat(whole, F.lit(".5"))).otherwise(items)
         cost = F.when(_every(29), "n/a").when(_every(31), "").when(_every(43), "NULL").otherwise(cost)
-    return _lines(spark, sf_dir).select(
-        *_common(),
+    return lines.select(
+        *common,
         cost.alias("actual_cost"),
         items.alias("items"),
         _plain_text("l_quantity").alias("quantity"),
@@ -103,9 +113,9 @@ def text_records(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFr
     )
 
 
-def ledger_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ledger_csv(spark: SparkSession, sf_dir: str, by_file: bool = False) -> DataFrame:
     """The records in the layout of the monthly source CSV."""
-    rows = text_records(spark, sf_dir)
+    rows = text_records(spark, sf_dir, by_file=by_file)
     fixed = {
         "YEAR_MONTH": F.col("date"),
         "ICB_NAME": F.col("icb_name"),

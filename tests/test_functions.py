@@ -3,6 +3,7 @@ import random
 from conftest import values
 from pyspark.sql import functions as F
 
+from doseledger.functions import months
 from doseledger.functions.casting import (
     double_to_bigint,
     round_half_away,
@@ -55,6 +56,24 @@ def test_month_keys_of_both_date_forms(spark):
     ]
 
 
+def test_dates_with_and_without_the_pattern_agree(spark):
+    """The short cut for ``YYYY-MM-DD`` and for text without dash or slash gives what the pattern gives."""
+    drawn, forms = random.Random(3), ("2024-01-05", "2024/01/05", "2024-1-5", " 2024-01-0", "2024-01-05 10:30", "202401")
+    texts = list(forms)
+    for _ in range(4000):
+        text = list(drawn.choice(forms))
+        for _ in range(drawn.randint(0, 2)):
+            text[drawn.randrange(len(text))] = drawn.choice("0139-/ T\t+:é")
+        texts.append("".join(text))
+
+    def by_pattern(text):
+        return F.when(text.rlike(months._ISO), F.translate(F.trim(text), "/", "-").try_cast("date"))
+
+    assert _map(spark, iso_date, texts) == _map(spark, by_pattern, texts)
+    frame = spark.createDataFrame([("2024-01-05",)], "v string").select(iso_date(F.col("v")))
+    assert "length(v" in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_compact_month_is_no_date(spark):
     assert [str(v) for v in _map(spark, iso_date, ["202506", "2024-01-05", "2024"])] == [
         "None", "2024-01-05", "None",

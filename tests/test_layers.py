@@ -158,6 +158,13 @@ def test_term_counts(sections):
     ]
 
 
+def test_stop_words_are_looked_up_once_a_term(sections):
+    plan = term_counts(sections)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.index("Aggregate") < plan.index("Generate")
+    assert values(term_counts(sections, ["rash"]).filter("drug = 'aspirin' OR term = 'rash'"), "term", "frequency") == [("with", 1)]
+    assert term_counts(sections, []).count() == term_counts(sections, ["none"]).count() == 7
+
+
 def test_top_terms_limit_is_per_medicine(spark, sections):
     top = [(r["term"], r["page_type"], r["frequency"]) for r in top_terms(sections, 3).collect()]
     assert top == [("nausea", "side_effects", 3), ("rash", "side_effects", 2), ("alcohol", "interactions", 1)]

@@ -97,3 +97,13 @@ def test_hot_month_is_split_on_write(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = [f for f in os.listdir(tmp_path / "h" / "year_month=2024-01") if f.startswith("part-")]
     assert len(files) > 1
+
+
+def test_ledger_rows_travel_by_file_before_they_are_text(spark):
+    rows = sample_tables.ledger_csv(spark, DATA, by_file=True)
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    moved = text.index("RebalancePartitions")
+    # the text is made above the move, the order is kept for the write
+    assert text.index("SUB-") < text.index("Sort [resource") < moved
+    plain = sample_tables.ledger_csv(spark, DATA).drop("PRACTICE_NAME")
+    assert rows.select(*plain.columns).exceptAll(plain).isEmpty() and rows.count() == plain.count()
